@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from folioflow.llm import substring_dedup, suffix_dedup
+from folioflow.llm import quality_rules, simhash, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.query,
+    "op2_quality_rules": quality_rules.query,
     "op8_suffix_dedup": suffix_dedup.query,
+    "op10_simhash_near_dedup": simhash.query,
 }
 
 ORACLE_SQL = {
     "op1_substring_dedup": substring_dedup.SQL,
+    "op2_quality_rules": quality_rules.SQL,
 }
