@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState
 
 from folioflow.operators import events as E
 from folioflow.plans import select as S
 
-#: Fixed defaults: hours that state is kept, and events that a page's list holds at most.
+#: Hours that state is kept.
 HOURS_KEPT = 48
 
 
@@ -52,48 +52,48 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     query.awaitTermination()
 
 
-class Integrity(StatefulProcessor):
-    """Of each page: when it was created and moved (each write renews its time to live), and its versions.
-
-    The versions' time to live runs from the first one, by a timer.  Out go the counts after each batch.
-    """
-
-    def __init__(self, hours: int = HOURS_KEPT):
-        self.ms = hours * 3_600_000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.created = handle.getValueState("created", "at timestamp", self.ms)
-        self.moved = handle.getValueState("moved", "at timestamp", self.ms)
-        self.versions = handle.getListState("versions", "version long, editor string, at timestamp")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for batch in rows:
+INTEGRITY = "page long, created timestamp, moved timestamp, edits long, unique_editors long"
+_STATE = "created long, created_set long, moved long, moved_set long, first_push long, editors array<string>, versions array<long>"
+
+
+def _micros(at: pd.Timestamp) -> int:
+    return at.value // 1000
+
+
+def _integrity(hours: int):
+    """State of a page: when it was created and moved, each kept for some hours from its last write, and its
+    versions while it is tracked, kept for as long from the first of them."""
+    kept = hours * 3_600_000
+
+    def run(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now = state.getCurrentProcessingTimeMs()
+        created, created_set, moved, moved_set, first, editors, versions = state.get if state.exists else (None, 0, None, 0, 0, [], [])
+        editors, versions = list(editors), list(versions)
+        created = created if now - created_set < kept else None
+        moved = moved if now - moved_set < kept else None
+        if versions and now - first >= kept:
+            editors, versions = [], []
+        if state.hasTimedOut and created is None and moved is None and not versions:
+            state.remove()
+            return
+        for batch in rows if not state.hasTimedOut else ():
             for r in batch.sort_values(["at", "version"]).itertuples(index=False):
                 if r.kind == "create" and r.namespace == 0:
-                    self.created.update((r.at.to_pydatetime(),))
+                    created, created_set = _micros(r.at), now
                 elif r.kind == "move" and r.namespace == 0:
-                    self.moved.update((r.at.to_pydatetime(),))
-                elif r.kind == "edit" and (self.created.exists() or self.moved.exists()):
-                    if not self.versions.exists():
-                        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ms)
-                    self.versions.appendValue((int(r.version), r.editor, r.at.to_pydatetime()))
-        edits = list(self.versions.get()) if self.versions.exists() else []
-        created = self.created.get()[0] if self.created.exists() else None
-        moved = self.moved.get()[0] if self.moved.exists() else None
-        yield pd.DataFrame({"page": [key[0]], "created": pd.to_datetime([created]), "moved": pd.to_datetime([moved]), "edits": [len(edits)], "unique_editors": [len({e[1].lower() for e in edits})]})
+                    moved, moved_set = _micros(r.at), now
+                elif r.kind == "edit" and (created is not None or moved is not None):
+                    first = first if versions else now
+                    editors.append(r.editor)
+                    versions.append(int(r.version))
+        state.update((created, created_set, moved, moved_set, first, editors, versions))
+        state.setTimeoutDuration(kept)
+        stamp = lambda x: pd.to_datetime([x], unit="us")
+        yield pd.DataFrame({"page": [key[0]], "created": stamp(created), "moved": stamp(moved), "edits": [len(versions)], "unique_editors": [len({e.lower() for e in editors})]})
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.versions.clear()
-        yield from ()
-
-    def close(self) -> None:
-        pass
-
-
-INTEGRITY = "page long, created timestamp, moved timestamp, edits long, unique_editors long"
+    return run
 
 
 def integrity_stream(changes: DataFrame, hours: int = HOURS_KEPT) -> DataFrame:
     """changes (page, kind, namespace, version, editor, at) to the state of each page after each batch."""
-    return changes.groupBy("page").transformWithStateInPandas(statefulProcessor=Integrity(hours), outputStructType=INTEGRITY, outputMode="Update", timeMode="ProcessingTime")
+    return changes.groupBy("page").applyInPandasWithState(_integrity(hours), INTEGRITY, _STATE, "update", "ProcessingTimeTimeout")
