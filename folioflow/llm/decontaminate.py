@@ -51,12 +51,16 @@ def overlaps(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: st
         test = F.broadcast(test)
     text = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), _words(F.col(f"`{text_col}`")).alias("_doc"))
     text = text.select("doc_id", "_doc", _places("_doc").alias("_p")).select("doc_id", "_doc", "_p", _seeds("_doc", "_p").alias("_seed"))
-    hits = text.join(test, "_seed").withColumn("_at", F.col("_p") - F.col("_q"))
+    hits = text.join(test, "_seed").select("doc_id", "item_id", "_doc", "_item", (F.col("_p") - F.col("_q")).alias("_at"))
     begin = F.greatest(F.col("_at"), F.lit(0))
     beside = F.slice("_doc", begin + 1, F.size("_item") - (begin - F.col("_at")))
-    own = F.when(F.col("_at") < 0, F.slice("_item", 1 - F.col("_at"), F.size("_item"))).otherwise(F.col("_item"))
-    equal = F.aggregate(F.zip_with(beside, own, lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    found = hits.select("doc_id", "item_id", F.col("_at").cast("long").alias("first_word"), equal.cast("long").alias("n_equal"), F.size("_item").cast("long").alias("n_item_words"))
+    own = F.slice("_item", F.greatest(F.lit(1), 1 - F.col("_at")), F.size("_item"))
+    # The generator keeps the lambda below out of the join, which then stays in one piece of generated code with the
+    # places' generators: whole texts are read in place, and only the words beside an item leave it.
+    pair = F.explode(F.array(F.struct(beside.alias("beside"), own.alias("own")))).alias("_x")
+    hits = hits.select("doc_id", "item_id", "_at", F.size("_item").alias("_n"), pair)
+    equal = F.aggregate(F.zip_with("_x.beside", "_x.own", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
+    found = hits.select("doc_id", "item_id", F.col("_at").cast("long").alias("first_word"), equal.cast("long").alias("n_equal"), F.col("_n").cast("long").alias("n_item_words"))
     found = found.filter(F.col("n_equal") >= F.lit(share) * F.col("n_item_words"))
     best = found.groupBy("doc_id", "item_id", "n_item_words").agg(F.max(F.struct("n_equal", (-F.col("first_word")).alias("b"))).alias("m"))
     return best.select("doc_id", "item_id", F.col("m.n_equal").alias("n_equal"), "n_item_words", (-F.col("m.b")).alias("first_word"))
