@@ -247,3 +247,60 @@ def html_article(spark: SparkSession, d: str) -> DataFrame:
 @query("html_relations_names", "SELECT identifier, array_to_string(['Category:' || x for x in range(1, n_categories + 1)], ',') AS names FROM articles", A)
 def html_names(spark: SparkSession, d: str) -> DataFrame:
     return articles(spark, d).select("identifier", F.array_join(F.transform("categories", lambda c: c["name"]), ",").alias("names"))
+
+
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    head, *rest = PAGE.replace("{{", "{").replace("}}", "}").split("{n}")
+    n = F.col("doc_id").cast("string")
+    page = F.concat(F.lit(head), *[x for r in rest for x in (n, F.lit(r))])
+    return table(spark, d, "documents").select("doc_id", html_parts(page).alias("p"))
+
+
+#: Each part of the page as a column, and the SQL of its value.
+_PARTS = {
+    "html_base_url": (lambda: F.col("p.base_url"), "'https://en.host/wiki/'"),
+    "html_templates": (lambda: F.to_json("p.templates"), """'[{"name":"Template:T' || doc_id || '","url":"https://en.host/wiki/Template:T' || doc_id || '"}]'"""),
+    "html_categories": (lambda: F.to_json("p.categories"), """'[{"name":"Category:C' || doc_id || '","url":"https://en.host/wiki/Category:C' || doc_id || '"}]'"""),
+    "html_abstract": (lambda: F.col("p.abstract"), "'Alpha is beta number ' || doc_id || '.'"),
+    "html_images": (lambda: F.to_json("p.images"), """'[{"content_url":"https://i/x' || doc_id || '.png","alternative_text":"x","caption":"Cap","width":20,"height":30}]'"""),
+    "html_text": (lambda: F.substring("p.text", 1, 35), "substring('Alpha (born 1) is beta number ' || doc_id || '. Box ' || doc_id || ' Born 1 May', 1, 35)"),
+    "html_infobox": (lambda: F.get_json_object("p.infoboxes", "$[0].has_parts[0].value"), "'1 May'"),
+    "html_infoboxes": (lambda: F.get_json_object("p.infoboxes", "$[0].has_parts[1].values"), """'["A","B"]'"""),
+    "html_sections": (lambda: F.get_json_object("p.sections", "$[1].name"), "'Life'"),
+    "html_paragraphs": (lambda: F.get_json_object("p.sections", "$[1].has_parts[0].value"), "'Text one.'"),
+    "html_list_items": (lambda: F.get_json_object("p.sections", "$[1].has_parts[1].has_parts[0].has_parts[0].has_parts[0].value"), "'Two'"),
+    "html_references": (lambda: F.to_json("p.references"), """'[{"id":"r1","index":1,"text":"First a","links":[{"url":"https://a/","text":"a"}]}]'"""),
+}
+
+for _name, (_column, _value) in _PARTS.items():
+
+    @query(_name, f"SELECT doc_id, {_value} AS part FROM documents")
+    def _part_query(spark: SparkSession, d: str, column=_column) -> DataFrame:
+        return _pages(spark, d).select("doc_id", column().alias("part"))
+
+
+@query("fn_underscore", "SELECT doc_id, 'A_b_' || doc_id AS name FROM documents")
+def fn_underscore(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", X.underscored(F.concat(F.lit("A b "), F.col("doc_id").cast("string"))).alias("name"))
+
+
+@query("fn_between_hours", "SELECT event_id, event_id % 4 > 0 AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-06' AS inside FROM events")
+def fn_between(spark: SparkSession, d: str) -> DataFrame:
+    at = F.when(F.col("event_id") % 4 > 0, F.col("ts"))
+    return events(spark, d).select("event_id", X.between_hours(at, F.to_timestamp(F.lit("2024-01-05 00:00:00")), 24).alias("inside"))
+
+
+@query("proj_structured")
+def proj_structured(spark: SparkSession, d: str) -> DataFrame:
+    """The default fields, and of the computed ones those asked for: their functions run only then."""
+    a = articles(spark, d).select("name", "identifier", "version", "in_language", "is_part_of")
+    p = _pages(spark, d).select(F.col("doc_id").alias("identifier"), F.col("p.infoboxes").alias("infoboxes"), F.col("p.references").alias("references"))
+    out = a.join(p, "identifier").withColumn("attribution", F.struct(F.size("references").alias("parsed_references_count"), X.last_revised(F.lit("2024-02-01T00:00:00Z")).alias("last_revised")))
+    return out.select("identifier", "name", F.col("version.identifier").alias("version"), "infoboxes", F.col("attribution.parsed_references_count").alias("parsed_references"), F.col("attribution.last_revised").alias("last_revised"))
+
+
+@query("agg_rel_dedup")
+def rel_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Relations unique by name, the last address wins."""
+    rel = articles(spark, d).select("identifier", F.explode(F.concat("categories", "categories")).alias("c"))
+    return rel.groupBy("identifier", F.col("c.name").alias("name")).agg(F.max("c.url").alias("url"))

@@ -46,3 +46,38 @@ def stream_hourly(spark: SparkSession, d: str) -> DataFrame:
     rows = changes(spark, d).select(F.col("meta.dt").alias("ts"), F.col("page_change_kind").alias("kind"))
     jobs.run_available(jobs.hourly_counts(_landed(spark, rows, folder), "ts", ["kind"]), f"{folder}/out", f"{folder}/at")
     return spark.read.parquet(f"{folder}/out")
+
+
+@query("st_state_ttl")
+def state_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The keyed state of every page after one pass over the changes."""
+    folder = _folder(spark)
+    c = changes(spark, d)
+    rows = c.select(F.col("page.page_id").alias("page"), F.col("page_change_kind").alias("kind"), F.col("page.page_namespace").alias("namespace"), F.col("revision.rev_id").alias("version"), F.col("performer.user_text").alias("editor"), F.col("revision.rev_dt").alias("at"))
+    name = f"state_{uuid.uuid4().hex}"
+    stream = jobs.integrity_stream(_landed(spark, rows, folder))
+    run = stream.writeStream.outputMode("update").format("memory").queryName(name).option("checkpointLocation", f"{folder}/at").trigger(once=True).start()
+    run.awaitTermination()
+    return spark.table(name)
+
+
+@query("src_kafka_resume", "SELECT count(*) AS n FROM events")
+def resume(spark: SparkSession, d: str) -> DataFrame:
+    """A stream stopped and started again from its checkpoint reads each message once."""
+    folder = _folder(spark)
+    rows = changes(spark, d).select(F.col("revision.rev_id").alias("rev_id"))
+    stream = _landed(spark, rows, folder)
+    for _ in range(2):
+        jobs.run_available(stream, f"{folder}/out", f"{folder}/at")
+    return spark.read.parquet(f"{folder}/out").agg(F.count("*").alias("n"))
+
+
+@query("src_commons_list", "SELECT count(*) AS files FROM (SELECT DISTINCT lang FROM documents)")
+def commons_list(spark: SparkSession, d: str) -> DataFrame:
+    from folioflow.dataset import table
+    from folioflow.sources.files import listing
+
+    folder = f"{_folder(spark)}/pages"
+    table(spark, d, "documents").select("lang", "doc_id").repartition("lang").write.partitionBy("lang").json(folder)
+    files = listing(spark, folder, "*.json", recursive=True).withColumn("lang", F.regexp_extract("path", "lang=([^/]+)", 1))
+    return files.agg(F.countDistinct("lang").alias("files"))
