@@ -16,7 +16,9 @@ truncation and padding unused.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,9 +34,9 @@ from folioflow.llm.hashing import Rolling, mix, word_spans
 from folioflow.llm.runtime import read, small_batches, texts_of
 
 #: Word starts between two cuts, on average; bytes that the rolling hash sees.
-SPACING, SEEN = 128, 32
+SPACING, SEEN = 256, 32
 #: Words whose ids a Python worker remembers; beyond it starts again.
-WORDS = 400_000
+WORDS = 200_000
 _PARTS = "to int, grp long, kind int, idx binary, lens binary, body binary"
 _NAMES = ["to", "grp", "kind", "idx", "lens", "body"]
 
@@ -45,6 +47,66 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Words that the normaliser only lower-cases and the splitter cuts in letters and signs; no part of a special token.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([#*$%&|.,!?;:]*)")
+
+
+def _plain(spec: dict) -> bool:
+    """Whether a tokenizer is of the kind that _Merger and _SIMPLE are made for."""
+    model, normalizer = spec["model"], spec.get("normalizer") or {}
+    steps = [s.get("type") for s in normalizer.get("normalizers", [])]
+    specials = [t["content"] for t in spec.get("added_tokens", [])]
+    return model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout") and steps == ["NFC", "Replace", "Lowercase"] and all("<" in t for t in specials)
+
+
+def _bytes_of_signs() -> dict[str, int]:
+    """Byte-level vocabularies write each byte as a sign: itself if it prints, else the next code point from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+class _Merger:
+    """The vocabulary's merges over bytes, with a zero byte as the end of a word.
+
+    A word's last byte takes its end before anything else merges (those pairs have the first ranks); then
+    the merges follow in their order.  Tests hold this against the library.
+    """
+
+    def __init__(self, spec: dict):
+        import tiktoken
+
+        signs, vocab = _bytes_of_signs(), spec["model"]["vocab"]
+
+        def raw(token: str) -> bytes:
+            ended = token.endswith("</w>")
+            return bytes(signs[c] for c in (token[:-4] if ended else token)) + (b"\0" if ended else b"")
+
+        ranks = {bytes([b]): b for b in range(256)}
+        ranks |= {bytes([b, 0]): 255 + b for b in range(1, 256)}
+        for merge in spec["model"]["merges"]:
+            left, right = merge if isinstance(merge, list) else merge.split(" ")
+            ranks.setdefault(raw(left) + raw(right), len(ranks))
+        self.ids = np.zeros(len(ranks), dtype=np.int64)
+        special = {t["content"] for t in spec.get("added_tokens", [])}
+        for token, i in vocab.items():
+            if token not in special and (at := ranks.get(raw(token))) is not None:
+                self.ids[at] = i
+        self.ends = np.zeros(len(ranks), dtype=bool)
+        self.ends[[r for t, r in ranks.items() if t.endswith(b"\0")]] = True
+        self.merges = tiktoken.Encoding("merges", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, words: list[tuple[str, str]], kind: np.dtype) -> Iterator[bytes]:
+        """Ids of words of (letters, signs)."""
+        text = "".join(f"{p}\0" for w in words for p in w if p).lower()
+        found = np.array(self.merges.encode_ordinary(text), dtype=np.int64)
+        data, size = self.ids[found].astype(kind).tobytes(), kind.itemsize
+        stops = np.concatenate([[0], np.flatnonzero(self.ends[found]) + 1])
+        parts = np.cumsum([0] + [bool(a) + bool(b) for a, b in words])
+        at = (stops[parts] * size).tolist()
+        return (data[a:b] for a, b in zip(at, at[1:], strict=False))
+
+
 class Encoder:
     """A tokenizer, and for those that drop white space before they merge, a memory of words' ids."""
 
@@ -62,11 +124,20 @@ class Encoder:
         #: True if only what matches the pattern is kept, and no match holds white space: words then encode alone.
         self.by_word = bool(first.get("type") == "Split" and first.get("invert") and first.get("behavior") == "Removed" and r"[^\s" in first.get("pattern", {}).get("Regex", ""))
         self.words: dict[bytes, bytes] = {}
+        self.merger = _Merger(spec) if self.by_word and _plain(spec) else None
 
     def many(self, texts: list[bytes]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in made]
 
+    def fresh(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of words: of letters and a few signs by merges alone, of all others by the library."""
+        parts = {w: m.groups() for w in words if self.merger and (m := _SIMPLE.fullmatch(w.decode()))}
+        if parts:
+            yield from zip(parts, self.merger.encode(list(parts.values()), self.kind), strict=True)
+        if rest := [w for w in words if w not in parts]:
+            yield from zip(rest, self.many(rest), strict=True)
+
     def chunk(self, text: bytes) -> bytes:
         if not self.by_word:
             return self.many([text])[0]
@@ -78,7 +149,7 @@ class Encoder:
             if len(have) + len(new) > WORDS:
                 have.clear()
                 new = list(set(words))
-            have.update(zip(new, self.many(new), strict=True))
+            have.update(self.fresh(new))
             return b"".join(map(have.__getitem__, words))
 
 
@@ -207,9 +278,8 @@ def _encode(path: str):
     return run
 
 
-def _assemble(path: str):
+def _assemble(kind: np.dtype):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = encoder(path).kind
         unpack = zstandard.ZstdDecompressor()
         group, layout, have = None, None, {}
 
@@ -247,11 +317,11 @@ def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id"
     path = tokenizer or default_tokenizer()
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
     total = docs.select(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 16, total // (24 << 20)))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 16, total // (8 << 20)))
     parts = own.mapInArrow(_split(path, buckets, spacing), _PARTS)
     parts = parts.repartition(buckets, "to").sortWithinPartitions("to").mapInArrow(_encode(path), _PARTS)
     back = parts.repartition(buckets, "grp").sortWithinPartitions("grp", F.desc("kind"))
-    return back.mapInArrow(_assemble(path), "doc_id long, ids array<int>")
+    return back.mapInArrow(_assemble(encoder(path).kind), "doc_id long, ids array<int>")
 
 
 def _texts(path: str, keep: list[str]):
@@ -271,19 +341,24 @@ def decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
     return encoded.select(*keep, "ids").mapInArrow(_texts(tokenizer or default_tokenizer(), keep), schema)
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids of each row as decimals joined by one space, beside them."""
-    names = [str(i) for i in range(1 << 16)]
-    for batch in batches:
-        texts = []
-        for x in batch.column("ids"):
-            ids = x.values.to_numpy(zero_copy_only=False)
-            texts.append(" ".join(map(names.__getitem__, ids.tolist())) if not len(ids) or ids.max() < len(names) else " ".join(map(str, ids.tolist())))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "_joined"])
+def _digest(path: str):
+    """Of each row's ids: their number, the hashes of their decimals joined by one space and of the decoded text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = encoder(path).tokenizer
+        names = [b"%d" % i for i in range(tokenizer.get_vocab_size())]
+        for batch in batches:
+            n, ids_sha, text_sha = [], [], []
+            for x in batch.column("ids"):
+                ids = x.values.to_numpy(zero_copy_only=False).tolist()
+                n.append(len(ids))
+                ids_sha.append(hashlib.sha256(b" ".join(map(names.__getitem__, ids))).hexdigest())
+                text_sha.append(hashlib.sha256(tokenizer.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return run
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = encode(read(spark, sf_dir, "documents")).mapInArrow(_joined, "doc_id long, ids array<int>, _joined string")
-    ids = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("_joined", 256).alias("ids_sha256"), "ids")
-    done = decode(ids)
-    return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    ids = encode(read(spark, sf_dir, "documents"))
+    return ids.mapInArrow(_digest(default_tokenizer()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
