@@ -43,27 +43,29 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def n_repeat_words(words: Column) -> Column:
-    """Words in three-word windows found twice or more: windows are sorted, and those beside an equal one kept."""
-    hashed = F.transform(
-        F.sequence(F.lit(0), F.size(words) - 3),
-        lambda i: _let(
-            F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)),
-            lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"), i.alias("i")),
-        ),
-    )
+def window_hashes(words: Column) -> Column:
+    """A hash of each three-word window, with its place."""
+    places = F.when(F.size(words) >= 3, F.sequence(F.lit(0), F.size(words) - 3)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")))
+
+
+def n_repeat_words(windows: Column, words: Column) -> Column:
+    """Words in windows found twice or more; windows: of window_hashes, sorted (by sort_array, whose comparison is compiled).
+
+    A window is repeated if one beside it, among those with its hash, has its words.
+    """
+
+    def same(x: Column, y: Column) -> Column:
+        at = lambda n: F.get(words, x["i"] + n) == F.get(words, y["i"] + n)
+        return F.coalesce((x["h"] == y["h"]) & at(0) & at(1) & at(2), F.lit(False))
 
-    def tied(w: Column) -> Column:
-        same = lambda x, y: (x["h"] == y["h"]) & (x["g"] == y["g"])
-        kept = F.filter(w, lambda x, j: F.coalesce(same(x, F.get(w, j - 1)), F.lit(False)) | F.coalesce(same(x, F.get(w, j + 1)), F.lit(False)))
-        return F.array_sort(F.transform(kept, lambda x: x["i"]))
+    kept = F.filter(windows, lambda x, j: same(x, F.get(windows, j - 1)) | same(x, F.get(windows, j + 1)))
 
     def cover(at: Column) -> Column:
         steps = F.zip_with(at, F.slice(at, 2, F.greatest(F.size(at), F.lit(1))), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
         return F.aggregate(steps, F.lit(0).cast("long"), lambda s, x: s + x)
 
-    count = _let(F.array_sort(hashed), lambda w: _let(tied(w), cover))
-    return F.when(F.size(words) >= 3, count).otherwise(F.lit(0).cast("long"))
+    return _let(F.sort_array(F.transform(kept, lambda x: x["i"])), cover)
 
 
 def with_counts(docs: DataFrame, text: str = "_text") -> DataFrame:
@@ -71,6 +73,7 @@ def with_counts(docs: DataFrame, text: str = "_text") -> DataFrame:
     t = F.col(text)
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(_WORD))
     own = docs.withColumn("_words", F.filter(F.split(t, _SPACES), lambda w: w != ""))
+    own = own.withColumn("_windows", F.sort_array(window_hashes(F.col("_words"))))
     out = own.select(
         *docs.columns,
         F.size("_words").cast("long").alias("n_words"),
@@ -78,7 +81,7 @@ def with_counts(docs: DataFrame, text: str = "_text") -> DataFrame:
         (F.char_length(t) - F.char_length(F.translate(t, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         F.greatest(F.size(lines), F.lit(1)).alias("_lines"),
-        n_repeat_words(F.col("_words")).alias("n_repeat_words"),
+        n_repeat_words(F.col("_windows"), F.col("_words")).alias("n_repeat_words"),
         (F.char_length(t) - F.char_length(F.translate(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).alias("_loud"),
         (F.char_length(t) - F.char_length(F.translate(t, "!", ""))).alias("_shouts"),
     )
