@@ -38,7 +38,7 @@ REMEMBERED = 400_000
 CORES = "core long, n long, lead long"
 STRINGS = "core long, lead long, did long, th long, start long, run int, shift int, kind int, body binary"
 RANGES = "_did long, _th long, start long, stop long"
-_PACKED, _RANGE, _DIGEST = 0, 1, 2
+_PACKED, _RANGE, _DIGEST, _SINGLE = 0, 1, 2, 3
 
 
 class View:
@@ -152,10 +152,6 @@ def _strings(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(cols, kinds, strict=True)], names)
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
-
-
 def _pack(kind: type, shared, frequent):
     """Packed strings of marked cores; equal ones of one task meet here."""
 
@@ -164,26 +160,26 @@ def _pack(kind: type, shared, frequent):
         seen: dict[bytes, tuple | None] = {}
         rows: list[tuple] = []
 
-        def send(core: int, lead: int, did: int, th: int, start: int, n: int, shift: int, what: int, body: bytes) -> None:
+        def met(body: bytes, what: int, did: int, th: int, start: int, n: int) -> bool:
+            """Whether this task has seen the string; then its range is sent, and the first one's with it."""
             digest = hashlib.blake2b(body, digest_size=16, key=b"%d" % what).digest()
             spot = (did, th, start)
-            if digest in seen:
-                if spot == seen[digest]:  # the row of a document that is there twice
-                    return
-                if kind.first_stays:
-                    if spot > seen[digest]:
-                        rows.append((th, 0, did, th, start, n, 0, _RANGE, b""))
-                        return
-                else:
-                    rows.append((th, 0, did, th, start, n, 0, _RANGE, b""))
-                    if (other := seen[digest]) is not None:
-                        rows.append((other[1], 0, *other, n, 0, _RANGE, b""))
-                        seen[digest] = None
-                    return
-            elif len(seen) >= REMEMBERED:
-                seen.clear()
-            seen[digest] = spot
-            rows.append((core, lead, did, th, start, n, shift, what, body))
+            if digest not in seen:
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen[digest] = spot
+                return False
+            other = seen[digest]
+            if spot == other:  # the row of a document that is there twice
+                return True
+            if kind.first_stays and spot < other:
+                seen[digest] = spot
+                return False
+            rows.append((th, 0, did, th, start, n, 0, _RANGE, b""))
+            if not kind.first_stays and other is not None:
+                rows.append((other[1], 0, *other, n, 0, _RANGE, b""))
+                seen[digest] = None
+            return True
 
         for batch in batches:
             dids, ths = longs(batch.column("_did")).tolist(), longs(batch.column("_th")).tolist()
@@ -198,14 +194,18 @@ def _pack(kind: type, shared, frequent):
                     (doc + lo).tolist(), view.bounds[doc].tolist(), single.tolist(), strict=True,
                 ):
                     did, th = dids[d], ths[d]
+                    body = view.cut(a, b + kind.window)
+                    if met(body, _PACKED, did, th, a - base, b - a + 1):
+                        continue
                     if not one:
-                        send(core, lead, did, th, a - base, b - a + 1, p - a, _PACKED, view.cut(a, b + kind.window))
+                        rows.append((core, lead, did, th, a - base, b - a + 1, p - a, _PACKED, body))
                         continue
                     for s in range(a, b + 1):
                         text = view.cut(s, s + kind.window)
-                        what, body = kind.single(text)
-                        own = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
-                        send(own, int.from_bytes(text[:8], "big") >> 1 if kind is Bytes else 0, did, th, s - base, 1, 0, what, body)
+                        what, single_body = kind.single(text)
+                        if not met(single_body, _SINGLE, did, th, s - base, 1):
+                            own = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big", signed=True)
+                            rows.append((own, int.from_bytes(text[:8], "big") >> 1, did, th, s - base, 1, 0, what, single_body))
             yield _strings(rows)
             rows.clear()
 
@@ -366,7 +366,8 @@ def repeated_ranges(docs: DataFrame, kind: type) -> DataFrame:
     strings = docs.mapInArrow(_pack(kind, shared, often), STRINGS)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 16, weight * 600 // (64 << 20)))
     if kind is Bytes:
-        strings = strings.repartition(buckets, _range_of(cores, total, buckets))
+        ranged = F.when(F.col("kind") == _RANGE, F.pmod("th", F.lit(buckets)).cast("int")).otherwise(_range_of(cores, total, buckets))
+        strings = strings.repartition(buckets, ranged)
     else:
         strings = strings.repartition(buckets, "core")
     strings = strings.sortWithinPartitions("core", "did", "th", "start")
