@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.hashing import Rolling, anchors, mix, word_spans
+from folioflow.llm.hashing import Rolling, anchors, word_spans
 from folioflow.llm.runtime import durable, longs, pieces, small_batches, texts_of
 
 #: Bytes of packed strings that a bucket batch holds before it is sorted.
@@ -415,6 +415,3 @@ def with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     """docs with a column ``_ranges``; each document's ranges are at most as many as its windows."""
     own = ranges.groupBy("_did", "_th").agg(F.collect_list(F.struct("start", "stop")).alias("_ranges"))
     return docs.join(own, ["_did", "_th"], "left")
-
-
-__all__ = ["Bytes", "Words", "covered", "mix", "multikey_ties", "repeated_ranges", "with_ranges"]

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import compress
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,6 @@ from folioflow.llm.hashing import word_spans
 from folioflow.llm.repeats import Words, covered, repeated_ranges, with_ranges
 from folioflow.llm.runtime import keyed, read, texts_of
 
-import numpy as np
-
 
 def _cut(spaced: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
