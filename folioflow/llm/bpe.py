@@ -6,7 +6,7 @@ together gives the same ids as encoding them apart; otherwise the two chunks are
 and this goes on until all joins agree.  Then the chunks go to a bucket by their hash, where each distinct
 text is encoded once for all documents, and the ids come back to the documents' group and are put together.
 
-A group is about 1 MB of documents of one input batch.  It sends each distinct chunk once and gets its ids
+A group is about 4 MB of documents of one task.  It sends each distinct chunk once and gets its ids
 once, so a chunk that a third of all documents hold costs one row a group.  Texts and ids travel compressed.
 
 Null and empty texts have no tokens; rows that repeat an id each have a row; an empty table gives an empty
@@ -35,6 +35,8 @@ from folioflow.llm.runtime import read, small_batches, texts_of
 
 #: Word starts between two cuts, on average; bytes that the rolling hash sees.
 SPACING, SEEN = 256, 32
+#: Bytes of a group's documents; zstd level of what travels (more of either makes it smaller).
+GROUP, LEVEL = 4 << 20, 6
 #: Words whose ids a Python worker remembers; beyond it starts again.
 WORDS = 200_000
 _PARTS = "to int, grp long, kind int, idx binary, lens binary, body binary"
@@ -189,16 +191,28 @@ def agreed(raw: bytes, places: np.ndarray, offs: np.ndarray, enc: Encoder) -> np
     return np.setdiff1d(places, inner[np.array(wrong, dtype=bool)]) if any(wrong) else places
 
 
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold a group's bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.column("_text").nbytes for b in held) >= GROUP:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _split(path: str, buckets: int, spacing: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, pack = encoder(path), zstandard.ZstdCompressor(level=3)
+        enc, pack = encoder(path), zstandard.ZstdCompressor(level=LEVEL)
         number = 0
-        for batch in batches:
+        for batch in _larger(batches):
             buf, offs = texts_of(batch.column("_text"))
             ids = batch.column("doc_id")
             lo = 0
             while lo < len(ids):
-                hi = min(len(ids), max(lo + 1, int(np.searchsorted(offs, offs[lo] + (1 << 20), "right")) - 1))
+                hi = min(len(ids), max(lo + 1, int(np.searchsorted(offs, offs[lo] + GROUP, "right")) - 1))
                 own, at = buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
                 raw = own.tobytes()
                 place, rolling = cuts(own, at, spacing)
@@ -253,7 +267,7 @@ def _encode(path: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        pack, unpack = zstandard.ZstdCompressor(level=LEVEL), zstandard.ZstdDecompressor()
         done: dict[bytes, bytes] = {}
         bucket = None
         for batch in batches:
@@ -317,7 +331,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id"
     path = tokenizer or default_tokenizer()
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
     total = docs.select(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 16, total // (8 << 20)))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 16, total // (16 << 20)))
     parts = own.mapInArrow(_split(path, buckets, spacing), _PARTS)
     parts = parts.repartition(buckets, "to").sortWithinPartitions("to").mapInArrow(_encode(path), _PARTS)
     back = parts.repartition(buckets, "grp").sortWithinPartitions("grp", F.desc("kind"))
