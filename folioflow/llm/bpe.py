@@ -327,7 +327,7 @@ def _assemble(kind: np.dtype):
 def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", spacing: int = SPACING) -> DataFrame:
     """doc_id and ids (array of int) of each row."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 64)  # a row may hold a bucket's part of a group
     path = tokenizer or default_tokenizer()
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
     total = docs.select(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0

@@ -56,10 +56,10 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Long texts come in Arrow batches of few rows, so that a Python worker holds a few MB of them."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 500:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
