@@ -3,12 +3,15 @@
 Texts are lower-cased and words are runs of letters and digits.  A mask names positions of a span of words
 that count; the others are ignored, so a substitution there is tolerated.  Hashes under each mask of every
 place of every test item are joined with those of every place of every text.  At each hit the item is laid
-beside the text (start of text place less item place) and equal words are counted over the item's whole
-length: the text is contaminated by the item if at least ``share`` of the item's words are equal there.
+beside the text (start of text place less item place) and the equal words of the item's whole length are noted.
 
-Items with fewer words than the span have no seed and never match; a null text or item is empty; items that
-are equal are reported each; rows that repeat an id count as one document; empty tables give an empty result.
-Test items are broadcast only if their seeds are few (``most_seeds``); beyond that Spark shuffles both sides.
+A text is contaminated by an item if at least ``share`` of the item's words are equal on one such diagonal.
+The masks are all ways to have three words of five or fewer, so no item of ten words or more that is equal at
+``share`` of 0.6 lacks a seed.  Shorter items match only exactly and as a whole; an item without words never.
+
+A null text or item is empty; items that are equal are reported each; rows that repeat an id count as one
+document; empty tables give an empty result.  Test items are broadcast only if their seeds are few
+(``most_seeds``); beyond that Spark shuffles both sides.
 """
 
 from __future__ import annotations
@@ -19,9 +22,10 @@ from pyspark.sql import functions as F
 from folioflow.llm.runtime import read
 
 _TOKEN = r"[\p{L}\p{N}]+"
-#: 1: the word counts; 0: it is ignored.  Any two substitutions in twenty words leave a hit under one of them.
-MASKS = ("1101100111", "1110010111", "1011111001", "11111")
-SPAN = max(map(len, MASKS))
+#: 1: the word counts; 0: it is ignored.  Where 60 % of ten words or more are equal, some five of them have three.
+MASKS = ("111", "1101", "1011", "11001", "10101", "10011")
+#: Items with fewer words are matched exactly, from their first word on; those of one or two words have masks of their own.
+SHORT, SHORT_MASKS = 10, ("1", "11")
 SHARE = 0.6
 MOST_SEEDS = 2_000_000
 
@@ -30,40 +34,58 @@ def _words(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(_TOKEN), F.lit(0)), lambda w: F.xxhash64(w))
 
 
-def _seed(n: int, mask: str, words: str, at: str) -> Column:
-    return F.xxhash64(F.lit(n), *[F.get(words, F.col(at) + i) for i, c in enumerate(mask) if c == "1"])
+def _seed(mask: str, words: str, at: str) -> Column:
+    hashed = F.xxhash64(F.lit(mask), *[F.get(words, F.col(at) + i) for i, c in enumerate(mask) if c == "1"])
+    return F.when(F.col(at) + len(mask) <= F.size(words), hashed)
+
+
+def _seeds(words: str, at: str, masks: tuple[str, ...]) -> Column:
+    return F.explode(F.array(*[_seed(m, words, at) for m in masks]))
 
 
-def _seeds(words: str, at: str) -> Column:
-    return F.explode(F.array(*[_seed(n, m, words, at) for n, m in enumerate(MASKS)]))
+def _item_seeds() -> Column:
+    """Short items have one seed, of as many words as the masks allow, at their first word."""
+    by_size = [F.when((F.size("_item") == len(m)) & (F.col("_q") == 0), _seed(m, "_item", "_q")) for m in SHORT_MASKS]
+    short = F.when((F.size("_item") < SHORT) & (F.col("_q") == 0), _seed(MASKS[0], "_item", "_q"))
+    long = [F.when(F.size("_item") >= SHORT, _seed(m, "_item", "_q")) for m in MASKS]
+    return F.explode(F.array(*by_size, short, *long))
 
 
-def _places(words: str, first: int = 0) -> Column:
-    return F.explode(F.when(F.size(words) >= SPAN, F.sequence(F.lit(0), F.size(words) - SPAN)))
+def _places(words: str) -> Column:
+    return F.explode(F.when(F.size(words) >= 1, F.sequence(F.lit(0), F.size(words) - 1)))
 
 
 def overlaps(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most_seeds: int = MOST_SEEDS) -> DataFrame:
-    """doc_id, item_id, n_equal, n_item_words, first_word of each contaminated pair: its best place, the first of equals."""
+    """doc_id, item_id, n_equal, n_item_words, first_word of each contaminated pair.
+
+    The pair's best diagonal with the share, the first of equals.
+    """
     test = items.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), _words(F.col(f"`{item_text}`")).alias("_item"))
-    test = test.select("item_id", "_item", _places("_item").alias("_q")).select("item_id", "_item", "_q", _seeds("_item", "_q").alias("_seed"))
-    test = test.distinct()
+    sizes = test.agg(*[F.coalesce(F.bool_or(F.size("_item") == len(m)), F.lit(False)) for m in SHORT_MASKS]).first()
+    masks = MASKS + tuple(m for m, has in zip(SHORT_MASKS, sizes, strict=True) if has)
+    test = test.select("item_id", "_item", _places("_item").alias("_q")).select("item_id", "_item", "_q", _item_seeds().alias("_seed"))
+    test = test.filter("_seed IS NOT NULL").distinct()
     if test.limit(most_seeds + 1).count() <= most_seeds:
         test = F.broadcast(test)
     text = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), _words(F.col(f"`{text_col}`")).alias("_doc"))
-    text = text.select("doc_id", "_doc", _places("_doc").alias("_p")).select("doc_id", "_doc", "_p", _seeds("_doc", "_p").alias("_seed"))
-    hits = text.join(test, "_seed").select("doc_id", "item_id", "_doc", "_item", (F.col("_p") - F.col("_q")).alias("_at"))
+    text = text.select("doc_id", "_doc", _places("_doc").alias("_p")).select("doc_id", "_doc", "_p", _seeds("_doc", "_p", masks).alias("_seed"))
+    # Of a diagonal's hits those after an equal word are left out: with that word there is a hit further up.
+    before = F.coalesce(F.get("_doc", F.col("_p") - 1) == F.get("_item", F.col("_q") - 1), F.lit(False))
+    hits = text.filter("_seed IS NOT NULL").join(test, "_seed").filter(~before).select("doc_id", "item_id", "_doc", "_item", (F.col("_p") - F.col("_q")).alias("_at"))
     begin = F.greatest(F.col("_at"), F.lit(0))
     beside = F.slice("_doc", begin + 1, F.size("_item") - (begin - F.col("_at")))
     own = F.slice("_item", F.greatest(F.lit(1), 1 - F.col("_at")), F.size("_item"))
     # The generator keeps the lambda below out of the join, which then stays in one piece of generated code with the
     # places' generators: whole texts are read in place, and only the words beside an item leave it.
-    pair = F.explode(F.array(F.struct(beside.alias("beside"), own.alias("own")))).alias("_x")
+    pair = F.explode(F.array(F.struct(beside.alias("beside"), own.alias("own"), F.xxhash64("_doc").alias("d"), F.xxhash64("_item").alias("i")))).alias("_x")
     hits = hits.select("doc_id", "item_id", "_at", F.size("_item").alias("_n"), pair)
-    equal = F.aggregate(F.zip_with("_x.beside", "_x.own", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    found = hits.select("doc_id", "item_id", F.col("_at").cast("long").alias("first_word"), equal.cast("long").alias("n_equal"), F.col("_n").cast("long").alias("n_item_words"))
-    found = found.filter(F.col("n_equal") >= F.lit(share) * F.col("n_item_words"))
-    best = found.groupBy("doc_id", "item_id", "n_item_words").agg(F.max(F.struct("n_equal", (-F.col("first_word")).alias("b"))).alias("m"))
-    return best.select("doc_id", "item_id", F.col("m.n_equal").alias("n_equal"), "n_item_words", (-F.col("m.b")).alias("first_word"))
+    equal = F.array_compact(F.transform("_x.beside", lambda w, i: F.when(w == F.get("_x.own", i), i + F.greatest(F.lit(0), -F.col("_at")))))
+    found = hits.select("doc_id", "item_id", "_n", "_x.d", "_x.i", F.struct(F.col("_at").alias("at"), equal.alias("eq")).alias("_g"))
+    found = found.groupBy("doc_id", "item_id", "_n", "d", "i").agg(F.collect_set("_g").alias("_g"))
+    n, need = F.col("_n"), F.when(F.col("_n") < SHORT, F.col("_n").cast("double")).otherwise(F.lit(share) * F.col("_n"))
+    whole = F.array_max(F.transform(F.filter("_g", lambda g: F.size(g["eq"]) >= need), lambda g: F.struct(F.size(g["eq"]).alias("e"), (-g["at"]).alias("b"))))
+    best = found.select("doc_id", "item_id", "_n", whole.alias("m")).filter("m IS NOT NULL").groupBy("doc_id", "item_id", "_n").agg(F.max("m").alias("m"))
+    return best.select("doc_id", "item_id", F.col("m.e").cast("long").alias("n_equal"), n.cast("long").alias("n_item_words"), (-F.col("m.b")).cast("long").alias("first_word"))
 
 
 def clean(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: str = "doc_id") -> DataFrame:
@@ -77,13 +99,17 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+#: The SQL's seeds: it reports whole items only, and finds those that these masks find.
+_SQL_MASKS, _SQL_SPAN = ("1101100111", "1110010111", "1011111001", "11111"), 10
+
+
 def _sql() -> str:
     def seeds(table: str, key: str) -> str:
         def one(n: int, mask: str) -> str:
             return f"'{n}'" + "".join(f" || ' ' || ws[p + {i + 1}]" for i, c in enumerate(mask) if c == "1")
 
-        listed = ", ".join(one(n, m) for n, m in enumerate(MASKS))
-        return f"(SELECT {key}, p, unnest([{listed}]) AS seed FROM (SELECT {key}, ws, unnest(range(0, len(ws) - {SPAN - 1})) AS p FROM {table} WHERE len(ws) >= {SPAN}))"
+        listed = ", ".join(one(n, m) for n, m in enumerate(_SQL_MASKS))
+        return f"(SELECT {key}, p, unnest([{listed}]) AS seed FROM (SELECT {key}, ws, unnest(range(0, len(ws) - {_SQL_SPAN - 1})) AS p FROM {table} WHERE len(ws) >= {_SQL_SPAN}))"
 
     return rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '{_TOKEN}') AS ws FROM documents),
