@@ -5,7 +5,9 @@ that count; the others are ignored, so a substitution there is tolerated.  Hashe
 place of every test item are joined with those of every place of every text.  At each hit the item is laid
 beside the text (start of text place less item place) and the equal words of the item's whole length are noted.
 
-A text is contaminated by an item if at least ``share`` of the item's words are equal on one such diagonal.
+A text is contaminated by an item if at least ``share`` of the item's words are equal on one such diagonal, or
+if a span has ``least_equal`` equal words or ``share`` of the item's.  A span joins runs of equal words in order,
+of one diagonal or of neighbouring ones (a word put in or left out), as long as ``share`` of its words are equal.
 The masks are all ways to have three words of five or fewer, so no item of ten words or more that is equal at
 ``share`` of 0.6 lacks a seed.  Shorter items match only exactly and as a whole; an item without words never.
 
@@ -26,6 +28,8 @@ _TOKEN = r"[\p{L}\p{N}]+"
 MASKS = ("111", "1101", "1011", "11001", "10101", "10011")
 #: Items with fewer words are matched exactly, from their first word on; those of one or two words have masks of their own.
 SHORT, SHORT_MASKS = 10, ("1", "11")
+#: Equal words from which on part of an item is reported.
+LEAST_EQUAL = 13
 SHARE = 0.6
 MOST_SEEDS = 2_000_000
 
@@ -55,10 +59,50 @@ def _places(words: str) -> Column:
     return F.explode(F.when(F.size(words) >= 1, F.sequence(F.lit(0), F.size(words) - 1)))
 
 
-def overlaps(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most_seeds: int = MOST_SEEDS) -> DataFrame:
+def _runs(diagonals: Column) -> Column:
+    """Runs of equal words (p: first word in the text, q: in the item, n: words), by place in the text."""
+
+    def of(d: Column) -> Column:
+        at = lambda i: F.get(d["eq"], i)
+        first = F.filter(d["eq"], lambda x, i: F.coalesce(at(i - 1) != x - 1, F.lit(True)))
+        last = F.filter(d["eq"], lambda x, i: F.coalesce(at(i + 1) != x + 1, F.lit(True)))
+        return F.zip_with(first, last, lambda a, b: F.struct((d["at"] + a).alias("p"), a.alias("q"), (b - a + 1).alias("n")))
+
+    return F.sort_array(F.flatten(F.transform(diagonals, of)))
+
+
+def _span(runs: Column, n: Column, share: float) -> Column:
+    """e, the most equal words of a span, and b, its first diagonal with the sign changed.
+
+    A span's score is (1 - share) for each equal word, less share for each other.  It is below n, so a run that
+    ended n words ago can't be joined any more.
+    """
+    score = lambda e, other: e * F.lit(1.0 - share) - other * F.lit(share)
+
+    def made(s: Column, e: Column, b: Column, r: Column) -> Column:
+        return F.struct(s.cast("double").alias("s"), e.cast("int").alias("e"), b.cast("int").alias("b"), (r["p"] + r["n"]).alias("p"), (r["q"] + r["n"]).alias("q"))
+
+    def step(acc: Column, r: Column) -> Column:
+        live = F.filter(acc["live"], lambda a: a["p"] > r["p"] - n)
+
+        def joined(a: Column) -> Column:
+            twice = F.greatest(F.lit(0), a["p"] - r["p"], a["q"] - r["q"])
+            gap = F.greatest(F.lit(0), r["p"] - a["p"], r["q"] - a["q"])
+            return F.when(twice < r["n"], made(a["s"] + score(r["n"] - twice, gap), a["e"] + r["n"] - twice, a["b"], r))
+
+        alone = made(score(r["n"], F.lit(0)), r["n"], r["q"] - r["p"], r)
+        best = F.array_max(F.concat(F.array(alone), F.transform(live, joined)))
+        new = F.transform(F.array(best), lambda x: F.struct(F.concat(live, F.array(x)).alias("live"), F.greatest(acc["top"], F.struct(x["e"].alias("e"), x["b"].alias("b"))).alias("top")))
+        return new[0]
+
+    start = F.expr("named_struct('live', cast(array() as array<struct<s: double, e: int, b: int, p: int, q: int>>), 'top', named_struct('e', 0, 'b', 0))")
+    return F.aggregate(runs, start, step, lambda acc: acc["top"])
+
+
+def overlaps(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most_seeds: int = MOST_SEEDS, least_equal: int = LEAST_EQUAL) -> DataFrame:
     """doc_id, item_id, n_equal, n_item_words, first_word of each contaminated pair.
 
-    The pair's best diagonal with the share, the first of equals.
+    The pair's best diagonal with the share, the first of equals; or else its best span.
     """
     test = items.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), _words(F.col(f"`{item_text}`")).alias("_item"))
     sizes = test.agg(*[F.coalesce(F.bool_or(F.size("_item") == len(m)), F.lit(False)) for m in SHORT_MASKS]).first()
@@ -83,8 +127,13 @@ def overlaps(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: st
     found = hits.select("doc_id", "item_id", "_n", "_x.d", "_x.i", F.struct(F.col("_at").alias("at"), equal.alias("eq")).alias("_g"))
     found = found.groupBy("doc_id", "item_id", "_n", "d", "i").agg(F.collect_set("_g").alias("_g"))
     n, need = F.col("_n"), F.when(F.col("_n") < SHORT, F.col("_n").cast("double")).otherwise(F.lit(share) * F.col("_n"))
+    all_equal = F.aggregate("_g", F.lit(0), lambda s, g: s + F.size(g["eq"]))
+    found = found.filter(all_equal >= F.least(need, F.lit(float(least_equal))))
     whole = F.array_max(F.transform(F.filter("_g", lambda g: F.size(g["eq"]) >= need), lambda g: F.struct(F.size(g["eq"]).alias("e"), (-g["at"]).alias("b"))))
-    best = found.select("doc_id", "item_id", "_n", whole.alias("m")).filter("m IS NOT NULL").groupBy("doc_id", "item_id", "_n").agg(F.max("m").alias("m"))
+    found = found.withColumn("_w", whole).withColumn("_s", F.when(F.col("_w").isNull() & (n >= SHORT), _span(_runs(F.col("_g")), n, share)))
+    part = F.when(F.col("_s.e") >= F.least(need, F.lit(float(least_equal))), F.col("_s"))
+    best = found.select("doc_id", "item_id", "_n", F.col("_w").isNotNull().alias("w"), F.coalesce("_w", part).alias("m")).filter("m IS NOT NULL")
+    best = best.groupBy("doc_id", "item_id", "_n").agg(F.max(F.struct("w", "m")).getField("m").alias("m"))
     return best.select("doc_id", "item_id", F.col("m.e").cast("long").alias("n_equal"), n.cast("long").alias("n_item_words"), (-F.col("m.b")).cast("long").alias("first_word"))
 
 

@@ -19,6 +19,21 @@ def _found(spark, texts, items, **more):
     return {(r.doc_id, r.item_id): (r.n_equal, r.first_word) for r in decontaminate.overlaps(docs, test, **more).collect()}
 
 
+def test_part_of_an_item_and_words_put_in_or_left_out(spark):
+    item, short = [f"a{i}" for i in range(59)], [f"b{i}" for i in range(16)]
+    pad = [f"p{i}" for i in range(30)]
+    texts = [
+        pad + item[12:46] + pad,
+        pad + item[:29] + ["new"] + item[29:] + pad,
+        pad + short[:8] + ["new"] + short[8:] + pad,
+        pad + short[:7] + short[8:] + pad,
+        pad + item[:12] + pad,
+        pad + item[20:30] + ["new"] + item[31:36] + pad,
+    ]
+    got = _found(spark, texts, [item, short])
+    assert got == {(0, 0): (34, 18), (1, 0): (59, 30), (2, 1): (16, 30), (3, 1): (15, 30), (5, 0): (15, 10)}
+
+
 def test_every_substitution_pattern_of_the_share(spark):
     r = random.Random(3)
     for n in (10, 11, 12):
