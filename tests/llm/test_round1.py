@@ -5,7 +5,9 @@ from __future__ import annotations
 import itertools
 import random
 
-from folioflow.llm import decontaminate
+import corpus_pipeline
+
+from folioflow.llm import decontaminate, shingle_dedup
 
 
 def _other(item, keep):
@@ -51,3 +53,30 @@ def test_short_items_match_exactly_as_a_whole(spark):
     items = [["one"], ["two", "words"], ["a", "b", "c"], [f"s{i}" for i in range(9)]]
     texts = [["x", "one"], ["two", "words"], ["a", "b", "c", "d"], ["x", *items[3]], ["two", "x", "words", "a", "b"], items[3][:8]]
     assert set(_found(spark, texts, items)) == {(0, 0), (1, 1), (2, 2), (3, 3)}
+
+
+def test_near_copies_are_those_of_the_similarity(spark):
+    r = random.Random(8)
+    texts = []
+    for g in range(40):
+        base = [f"g{g}w{r.randrange(400)}" for _ in range(r.randrange(60, 200))]
+        texts.append(base)
+        for n in (1, 2, 3, 4):
+            copy = list(base)
+            for i in r.sample(range(len(copy)), n):
+                copy[i] = "changed"
+            texts.append(copy)
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for i, j in near:
+        a, b = sorted((find(i), find(j)))
+        root[b] = a
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {x.doc_id for x in corpus_pipeline.near_dedup(spark, docs, "").collect()}
+    assert near and got == {find(i) for i in range(len(texts))}
+    assert shingle_dedup.keep_one(docs.filter("doc_id < 0")).count() == 0
