@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioflow.llm.hashing import Rolling, mix, word_spans
-from folioflow.llm.runtime import read, small_batches, texts_of
+from folioflow.llm.runtime import pieces, read, small_batches, texts_of, tidy
 
 #: Word starts between two cuts, on average; bytes that the rolling hash sees.
 SPACING, SEEN = 256, 32
@@ -160,14 +161,17 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def cuts(buf: np.ndarray, offs: np.ndarray, spacing: int = SPACING) -> tuple[np.ndarray, Rolling]:
+def cuts(buf: np.ndarray, offs: np.ndarray, spacing: int = SPACING) -> np.ndarray:
     """Places where chunks of the texts begin, text starts included."""
-    rolling = Rolling(buf)
-    start, _ = word_spans(buf, offs)
-    doc = np.searchsorted(offs, start, "right") - 1
-    start, doc = start[start > offs[doc]], doc[start > offs[doc]]
-    seen = rolling.spans(np.maximum(start - SEEN, offs[doc]), start)
-    return np.unique(np.concatenate([offs[:-1], start[seen % np.uint64(spacing) == 0]])), rolling
+    found = [offs[:-1]]
+    for lo, hi in pieces(offs):
+        own, at = buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
+        start, _ = word_spans(own, at)
+        doc = np.searchsorted(at, start, "right") - 1
+        start, doc = start[start > at[doc]], doc[start > at[doc]]
+        seen = Rolling(own).spans(np.maximum(start - SEEN, at[doc]), start)
+        found.append(start[seen % np.uint64(spacing) == 0] + offs[lo])
+    return np.unique(np.concatenate(found))
 
 
 def agreed(raw: bytes, places: np.ndarray, offs: np.ndarray, enc: Encoder) -> np.ndarray:
@@ -215,20 +219,19 @@ def _split(path: str, buckets: int, spacing: int):
                 hi = min(len(ids), max(lo + 1, int(np.searchsorted(offs, offs[lo] + GROUP, "right")) - 1))
                 own, at = buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
                 raw = own.tobytes()
-                place, rolling = cuts(own, at, spacing)
+                place = cuts(own, at, spacing)
                 place = agreed(raw, place[place < len(raw)], at, enc)
                 end = np.append(place[1:], len(raw))
-                to = (rolling.spans(place, end) % np.uint64(buckets)).astype(np.int64)
                 known: dict[bytes, int] = {}
                 texts: list[bytes] = []
                 homes: list[int] = []
                 order = []
-                for a, b, t in zip(place.tolist(), end.tolist(), to.tolist(), strict=True):
+                for a, b in zip(place.tolist(), end.tolist(), strict=True):
                     text = raw[a:b]
                     i = known.setdefault(text, len(texts))
                     if i == len(texts):
                         texts.append(text)
-                        homes.append(t)
+                        homes.append(xxhash.xxh64_intdigest(text) % buckets)
                     order.append(i)
                 number += 1
                 group = int(mix(np.array([TaskContext.get().partitionId() * (1 << 32) + number], dtype=np.uint64)).view(np.int64)[0])
@@ -324,18 +327,41 @@ def _assemble(kind: np.dtype):
     return run
 
 
-def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", spacing: int = SPACING) -> DataFrame:
-    """doc_id and ids (array of int) of each row."""
+def _chain(*steps):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        yield from batches
+
+    return run
+
+
+_IDS = "doc_id long, ids array<int>"
+
+
+def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, spacing: int, schema: str, *then) -> DataFrame:
+    """Rows of ids as the steps in ``then`` leave them, which run in the worker that puts the ids together."""
     spark = docs.sparkSession
     small_batches(spark, 64)  # a row may hold a bucket's part of a group
-    path = tokenizer or default_tokenizer()
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
     total = docs.select(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 16, total // (16 << 20)))
-    parts = own.mapInArrow(_split(path, buckets, spacing), _PARTS)
-    parts = parts.repartition(buckets, "to").sortWithinPartitions("to").mapInArrow(_encode(path), _PARTS)
-    back = parts.repartition(buckets, "grp").sortWithinPartitions("grp", F.desc("kind"))
-    return back.mapInArrow(_assemble(encoder(path).kind), "doc_id long, ids array<int>")
+    homes = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (16 << 20))  # a worker holds one home's texts
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 16, homes))
+    parts = own.mapInArrow(tidy(_split(path, homes, spacing)), _PARTS)
+    parts = parts.repartition(tasks, "to").sortWithinPartitions("to").mapInArrow(tidy(_encode(path)), _PARTS)
+    back = parts.repartition(tasks, "grp").sortWithinPartitions("grp", F.desc("kind"))
+    return back.mapInArrow(tidy(_chain(_assemble(encoder(path).kind), *then)), schema)
+
+
+def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", spacing: int = SPACING) -> DataFrame:
+    """doc_id and ids (array of int) of each row."""
+    return _encoded(docs, tokenizer or default_tokenizer(), id_col, text_col, spacing, _IDS)
+
+
+def encode_decode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", spacing: int = SPACING) -> DataFrame:
+    """doc_id, ids and decoded (the text of the ids) of each row."""
+    path = tokenizer or default_tokenizer()
+    return _encoded(docs, path, id_col, text_col, spacing, f"{_IDS}, decoded string", _texts(path, ["doc_id", "ids"]))
 
 
 def _texts(path: str, keep: list[str]):
@@ -352,7 +378,7 @@ def decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """encoded with the column ids replaced by decoded, the tokenizer's text of them; null ids give the empty text."""
     keep = [c for c in encoded.columns if c not in ("ids", "decoded")]
     schema = T.StructType([*[encoded.schema[c] for c in keep], T.StructField("decoded", T.StringType())])
-    return encoded.select(*keep, "ids").mapInArrow(_texts(tokenizer or default_tokenizer(), keep), schema)
+    return encoded.select(*keep, "ids").mapInArrow(tidy(_texts(tokenizer or default_tokenizer(), keep)), schema)
 
 
 def _digest(path: str):
@@ -374,5 +400,5 @@ def _digest(path: str):
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = encode(read(spark, sf_dir, "documents"))
-    return ids.mapInArrow(_digest(default_tokenizer()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    path, schema = default_tokenizer(), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return _encoded(read(spark, sf_dir, "documents"), path, "doc_id", "text", SPACING, schema, _digest(path))

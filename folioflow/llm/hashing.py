@@ -19,7 +19,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
         made = np.full(size, base, dtype=np.uint64)
         made[0] = 1
         np.cumprod(made, out=made)
-        if size <= 1 << 22:
+        if size <= 1 << 20:
             _cache[int(base)] = made
         have = made
     return have[:n]

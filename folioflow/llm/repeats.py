@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm.hashing import Rolling, anchors, word_spans
-from folioflow.llm.runtime import durable, longs, pieces, small_batches, texts_of
+from folioflow.llm.runtime import durable, longs, pieces, small_batches, texts_of, tidy
 
 #: Bytes of packed strings that a bucket batch holds before it is sorted.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 #: Occurrences from which a core's windows travel one by one.
 FREQUENT = 5000
 #: The bit sets' size: eight bits for each repeated core, within these bounds.
@@ -357,13 +357,13 @@ def repeated_ranges(docs: DataFrame, kind: type) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("_did", "_th", "_text").filter(F.length("_text") >= (kind.window * 2 - 1 if kind is Words else kind.window // 4))
-    cores = docs.select("_text").mapInArrow(_count_cores(kind), CORES)
+    cores = docs.select("_text").mapInArrow(tidy(_count_cores(kind)), CORES)
     cores = durable(cores.groupBy("core").agg(F.sum("n").alias("n"), F.min("lead").alias("lead")).filter("n > 1"))
     total, weight = cores.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     bits = min(MOST_BITS, max(LEAST_BITS, 1 << (8 * total).bit_length()))
     shared = spark.sparkContext.broadcast(_marks(cores, bits))
     often = spark.sparkContext.broadcast(_marks(cores.filter(F.col("n") >= FREQUENT), bits))
-    strings = docs.mapInArrow(_pack(kind, shared, often), STRINGS)
+    strings = docs.mapInArrow(tidy(_pack(kind, shared, often)), STRINGS)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 16, weight * 600 // (64 << 20)))
     if kind is Bytes:
         ranged = F.when(F.col("kind") == _RANGE, F.pmod("th", F.lit(buckets)).cast("int")).otherwise(_range_of(cores, total, buckets))
@@ -371,7 +371,7 @@ def repeated_ranges(docs: DataFrame, kind: type) -> DataFrame:
     else:
         strings = strings.repartition(buckets, "core")
     strings = strings.sortWithinPartitions("core", "did", "th", "start")
-    return strings.mapInArrow(_bucket(kind), RANGES)
+    return strings.mapInArrow(tidy(_bucket(kind)), RANGES)
 
 
 def _range_of(cores: DataFrame, total: int, buckets: int, sample: int = 8192):

@@ -8,8 +8,10 @@ row gets the same result.  A null text is an empty one.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +26,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests, one machine) one is made and set."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset and all runs on one machine, one is made and set."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="folioflow-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -35,8 +40,12 @@ def shared_folder(spark: SparkSession) -> str:
 _written: list[tuple[SparkSession, str]] = []
 
 
-def _clear() -> None:
-    for spark, path in _written:
+def clear(since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Deletes the durable tables written after the first ``since``, but for the paths to keep."""
+    own, _written[since:] = _written[since:], [x for x in _written[since:] if x[1] in keep]
+    for spark, path in own:
+        if path in keep:
+            continue
         try:
             hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
@@ -44,7 +53,7 @@ def _clear() -> None:
             return
 
 
-atexit.register(_clear)
+atexit.register(clear)
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -56,6 +65,25 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> list[str]:
+    """Paths of the durable tables that stand."""
+    return [path for _, path in _written]
+
+
+def tidy(run: Callable) -> Callable:
+    """run, for mapInArrow; at its end the worker gives free memory back, as idle workers live on beside those at work."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc alone has it
+                trim(0)
+
+    return own
+
+
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Long texts come in Arrow batches of few rows, so that a Python worker holds a few MB of them."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
@@ -78,7 +106,7 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), offs
 
 
-def pieces(offs: np.ndarray, target: int = 1 << 20):
+def pieces(offs: np.ndarray, target: int = 1 << 19):
     """Index ranges of rows of about target bytes each; a longer row stands alone."""
     lo, n = 0, len(offs) - 1
     while lo < n:

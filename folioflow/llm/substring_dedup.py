@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from folioflow.llm.hashing import word_spans
 from folioflow.llm.repeats import Words, covered, repeated_ranges, with_ranges
-from folioflow.llm.runtime import keyed, read, texts_of
+from folioflow.llm.runtime import keyed, read, texts_of, tidy
 
 
 def _cut(spaced: bool):
@@ -60,7 +60,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, n_words, n_removed and kept_text (the words that stay, joined by one space) of each row."""
     own = keyed(docs, id_col, text_col)
     found = with_ranges(own, repeated_ranges(own, Words)).select("doc_id", "_text", "_ranges")
-    return found.mapInArrow(_cut(False), "doc_id long, n_words long, n_removed long, kept_text string")
+    return found.mapInArrow(tidy(_cut(False)), "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def dedup_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -72,7 +72,7 @@ def dedup_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(rest.alias("_rest"), F.coalesce(quoted[id_col].cast("long"), F.lit(-(1 << 63))).alias("_did"), F.xxhash64(text).alias("_th"), text.alias("_text"))
     found = with_ranges(rows, repeated_ranges(own, Words)).select("_rest", "_text", "_ranges")
     schema = T.StructType([found.schema["_rest"], *T._parse_datatype_string("n_words long, n_removed long, kept_text string").fields])
-    cut = found.mapInArrow(_cut(True), schema)
+    cut = found.mapInArrow(tidy(_cut(True)), schema)
     kept = F.when(F.col("_rest._null"), F.lit(None).cast("string")).otherwise(F.col("kept_text"))
     return cut.select(*[(kept if c == text_col else F.col("_rest").getField(c)).alias(c) for c in docs.columns])
 

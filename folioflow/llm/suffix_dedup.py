@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm.repeats import Bytes, covered, repeated_ranges, with_ranges
-from folioflow.llm.runtime import keyed, read, texts_of
+from folioflow.llm.runtime import keyed, read, texts_of, tidy
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,7 +47,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, n_bytes, n_removed, the removed spans and the bytes that stay, of each row."""
     own = keyed(docs, id_col, text_col)
     found = with_ranges(own, repeated_ranges(own, Bytes)).select("doc_id", "_text", "_ranges")
-    return found.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, removed array<struct<start:long,stop:long>>, kept binary")
+    return found.mapInArrow(tidy(_cut), "doc_id long, n_bytes long, n_removed long, removed array<struct<start:long,stop:long>>, kept binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
