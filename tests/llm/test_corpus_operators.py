@@ -187,14 +187,46 @@ def test_binomial_tail(spark):
         assert isclose(got, log(sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))), abs_tol=1e-9)
 
 
-def test_thresholds_need_evidence(spark):
+def _labelled(spark, rows):
+    """rows: good, stratum, holdout, symbols_per_word, loud_letters, times."""
     names = ", ".join(f"{m} double" for m in quality_rules.GRID)
-    row = lambda good, s: (good, "en", *[s if m == "symbols_per_word" else 0.0 for m in quality_rules.GRID])
-    few = spark.createDataFrame([row(True, 0.0)] * 50 + [row(False, 2.0)] * 20, f"_good boolean, _stratum string, {names}")
-    many = spark.createDataFrame([row(True, 0.0)] * 3000 + [row(False, 2.0)] * 20, few.schema)
-    assert quality_rules.cutoffs(few).count() == 0
-    (rule,) = quality_rules.cutoffs(many).collect()
-    assert rule.measure == "symbols_per_word" and rule.cutoff == 1.0 and (rule.n, rule.k) == (3000, 0)
+    made = [(g, s, h, *[x if m == "symbols_per_word" else y if m == "loud_letters" else 0.0 for m in quality_rules.GRID]) for g, s, h, x, y, n in rows for _ in range(n)]
+    return spark.createDataFrame(made, f"_good boolean, _stratum string, _holdout boolean, {names}")
+
+
+def test_thresholds_need_evidence(spark):
+    bad = [(False, "en", False, 2.0, 0.0, 20)]
+    few = _labelled(spark, [*bad, (True, "en", False, 0.0, 0.0, 90), (True, "en", True, 0.0, 0.0, 90)])
+    many = _labelled(spark, [*bad, (True, "en", False, 0.0, 0.0, 100), (True, "en", True, 0.0, 0.0, 100)])
+    assert quality_rules.admitted(few).count() == 0  # 0.97 ** 90 is above 0.05, 0.97 ** 100 is not
+    (rule,) = quality_rules.admitted(many).collect()
+    assert (rule.stratum, rule.measure, rule.cutoff, rule.n, rule.k) == ("en", "symbols_per_word", 1.0, 100, 0)
+
+
+def test_rules_are_decided_together_and_in_order(spark):
+    rows = [(False, "en", False, 2.0, 0.0, 9), (False, "en", False, 0.0, 0.9, 5), (True, "en", False, 0.0, 0.0, 300), (True, "en", True, 0.0, 0.0, 300)]
+    assert {(r.measure, r.k) for r in quality_rules.admitted(_labelled(spark, rows)).collect()} == {("symbols_per_word", 0), ("loud_letters", 0)}
+    # The second rule rejects so many of the holdout's good texts that it fails, and what comes after it is not tried.
+    worse = [*rows, (True, "en", True, 0.0, 0.9, 30)]
+    assert [(r.measure, r.k) for r in quality_rules.admitted(_labelled(spark, worse)).collect()] == [("symbols_per_word", 0)]
+
+
+def test_small_strata_are_pooled(spark):
+    rows = [(False, "a", False, 2.0, 0.0, 9), *[(True, s, h, 0.0, 0.0, 90) for s in ("a", None) for h in (True, False)], *[(True, "en", h, 0.0, 0.0, 200) for h in (True, False)], (False, "en", False, 0.0, 0.9, 4)]
+    got = {(r.stratum, r.measure, r.n) for r in quality_rules.admitted(_labelled(spark, rows)).collect()}
+    assert got == {("a", "symbols_per_word", 180), (None, "symbols_per_word", 180), ("en", "loud_letters", 200)}
+
+
+def test_false_rejection_keeps_its_limit(spark):
+    """Over many draws a rule that rejects 6 % of good texts is admitted in at most alpha of them, for each stratum."""
+    r = np.random.default_rng(6)
+    rows = []
+    for stratum in range(200):
+        name = str(stratum)
+        rows += [(False, name, False, 2.0, 0.0, 6), (True, name, False, 0.0, 0.0, 40)]
+        k = int(r.binomial(400, 0.06))
+        rows += [(True, name, True, 2.0, 0.0, k), (True, name, True, 0.0, 0.0, 400 - k)]
+    assert quality_rules.admitted(_labelled(spark, rows)).count() == 0
 
 
 def test_classifier(spark, docs, labels, none):
