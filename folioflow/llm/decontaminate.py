@@ -11,9 +11,14 @@ of one diagonal or of neighbouring ones (a word put in or left out), as long as
 The masks are all ways to have three words of five or fewer, so no item of ten words or more that is equal at
 ``share`` of 0.6 lacks a seed.  Shorter items match only exactly and as a whole; an item without words never.
 
-A null text or item is empty; items that are equal are reported each; rows that repeat an id count as one
-document; empty tables give an empty result.  Test items are broadcast only if their seeds are few
-(``most_seeds``); beyond that Spark shuffles both sides.
+A null text or item is empty; items that are equal are reported each; of rows that repeat an id the best place is
+reported, and ``clean`` judges each by its text; a null id is an id; very long texts are searched whole; ties go to
+the first place; empty tables give an empty result.  Other columns, whatever their names, are carried by ``clean``
+alone.
+
+Seeds (32 bytes each) and items' words are broadcast, as two tables, while the seeds are at most ``most_seeds``; an
+item has at most nine words a seed, so that bounds both.  Beyond it seeds, documents' keys and places are shuffled,
+without words, and the words beside the hits are joined afterwards.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm.runtime import read
+from folioflow.llm.runtime import NULL_ID, durable, read
 
 _TOKEN = r"[\p{L}\p{N}]+"
 #: 1: the word counts; 0: it is ignored.  Where 60 % of ten words or more are equal, some five of them have three.
@@ -31,7 +36,9 @@ SHORT, SHORT_MASKS = 10, ("1", "11")
 #: Equal words from which on part of an item is reported.
 LEAST_EQUAL = 13
 SHARE = 0.6
-MOST_SEEDS = 2_000_000
+MOST_SEEDS = 1_000_000
+#: Documents to drop that ``clean`` broadcasts (16 bytes each); beyond it they are joined by a shuffle.
+MOST_OUT = 1_000_000
 
 
 def _words(text: Column) -> Column:
@@ -99,49 +106,72 @@ def _span(runs: Column, n: Column, share: float) -> Column:
     return F.aggregate(runs, start, step, lambda acc: acc["top"])
 
 
-def overlaps(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most_seeds: int = MOST_SEEDS, least_equal: int = LEAST_EQUAL) -> DataFrame:
-    """doc_id, item_id, n_equal, n_item_words, first_word of each contaminated pair.
+def _hits(text: DataFrame, items: DataFrame, most_seeds: int) -> DataFrame:
+    """_did, doc_id, _th, item_id, _doc, _item, _at: an item beside a text, once for each diagonal with a seed or oftener.
 
-    The pair's best diagonal with the share, the first of equals; or else its best span.
+    text: _did, doc_id, _th, _doc; items: _ik, item_id, _item.
     """
-    test = items.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), _words(F.col(f"`{item_text}`")).alias("_item"))
-    sizes = test.agg(*[F.coalesce(F.bool_or(F.size("_item") == len(m)), F.lit(False)) for m in SHORT_MASKS]).first()
+    sizes = items.agg(*[F.coalesce(F.bool_or(F.size("_item") == len(m)), F.lit(False)) for m in SHORT_MASKS]).first()
     masks = MASKS + tuple(m for m, has in zip(SHORT_MASKS, sizes, strict=True) if has)
-    test = test.select("item_id", "_item", _places("_item").alias("_q")).select("item_id", "_item", "_q", _item_seeds().alias("_seed"))
-    test = test.filter("_seed IS NOT NULL").distinct()
-    if test.limit(most_seeds + 1).count() <= most_seeds:
-        test = F.broadcast(test)
-    text = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), _words(F.col(f"`{text_col}`")).alias("_doc"))
-    text = text.select("doc_id", "_doc", _places("_doc").alias("_p")).select("doc_id", "_doc", "_p", _seeds("_doc", "_p", masks).alias("_seed"))
-    # Of a diagonal's hits those after an equal word are left out: with that word there is a hit further up.
-    before = F.coalesce(F.get("_doc", F.col("_p") - 1) == F.get("_item", F.col("_q") - 1), F.lit(False))
-    hits = text.filter("_seed IS NOT NULL").join(test, "_seed").filter(~before).select("doc_id", "item_id", "_doc", "_item", (F.col("_p") - F.col("_q")).alias("_at"))
+    seeds = items.select("_ik", "_item", _places("_item").alias("_q")).select("_ik", "_q", _item_seeds().alias("_seed"))
+    seeds = seeds.filter("_seed IS NOT NULL").distinct()
+    places = text.select("*", _places("_doc").alias("_p")).select("*", _seeds("_doc", "_p", masks).alias("_seed")).filter("_seed IS NOT NULL")
+    at = (F.col("_p") - F.col("_q")).alias("_at")
+    if seeds.limit(most_seeds + 1).count() <= most_seeds:
+        hits = places.join(F.broadcast(seeds), "_seed").join(F.broadcast(items), "_ik")
+        # Of a diagonal's hits those after an equal word are left out: with that word there is a hit further up.
+        before = F.coalesce(F.get("_doc", F.col("_p") - 1) == F.get("_item", F.col("_q") - 1), F.lit(False))
+        return hits.filter(~before).select("_did", "doc_id", "_th", "item_id", "_doc", "_item", at)
+    hits = places.select("_did", "_th", "_p", "_seed").join(seeds, "_seed").select("_did", "_th", "_ik", at).distinct()
+    return hits.join(text, ["_did", "_th"]).join(items, "_ik").select("_did", "doc_id", "_th", "item_id", "_doc", "_item", "_at")
+
+
+def _overlaps(docs: DataFrame, items: DataFrame, share: float, id_col: str, text_col: str, item_col: str, item_text: str, most_seeds: int, least_equal: int) -> DataFrame:
+    """_did, doc_id, _th, item_id, _n and m of each contaminated pair of text and item; m orders a pair's places."""
+    test = items.select(F.col(f"`{item_col}`").cast("long").alias("item_id"), _words(F.col(f"`{item_text}`")).alias("_item")).distinct()
+    test = test.withColumn("_ik", F.xxhash64("item_id", "_item"))
+    raw = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    doc = F.col(f"`{id_col}`").cast("long")
+    text = docs.select(F.coalesce(doc, F.lit(NULL_ID)).alias("_did"), doc.alias("doc_id"), F.xxhash64(raw).alias("_th"), _words(raw).alias("_doc"))
+    hits = _hits(text, test, most_seeds)
     begin = F.greatest(F.col("_at"), F.lit(0))
     beside = F.slice("_doc", begin + 1, F.size("_item") - (begin - F.col("_at")))
     own = F.slice("_item", F.greatest(F.lit(1), 1 - F.col("_at")), F.size("_item"))
     # The generator keeps the lambda below out of the join, which then stays in one piece of generated code with the
     # places' generators: whole texts are read in place, and only the words beside an item leave it.
-    pair = F.explode(F.array(F.struct(beside.alias("beside"), own.alias("own"), F.xxhash64("_doc").alias("d"), F.xxhash64("_item").alias("i")))).alias("_x")
-    hits = hits.select("doc_id", "item_id", "_at", F.size("_item").alias("_n"), pair)
+    pair = F.explode(F.array(F.struct(beside.alias("beside"), own.alias("own"), F.xxhash64("_item").alias("i")))).alias("_x")
+    hits = hits.select("_did", "doc_id", "_th", "item_id", "_at", F.size("_item").alias("_n"), pair)
     equal = F.array_compact(F.transform("_x.beside", lambda w, i: F.when(w == F.get("_x.own", i), i + F.greatest(F.lit(0), -F.col("_at")))))
-    found = hits.select("doc_id", "item_id", "_n", "_x.d", "_x.i", F.struct(F.col("_at").alias("at"), equal.alias("eq")).alias("_g"))
-    found = found.groupBy("doc_id", "item_id", "_n", "d", "i").agg(F.collect_set("_g").alias("_g"))
+    found = hits.select("_did", "doc_id", "_th", "item_id", "_n", "_x.i", F.struct(F.col("_at").alias("at"), equal.alias("eq")).alias("_g"))
+    found = found.groupBy("_did", "doc_id", "_th", "item_id", "_n", "i").agg(F.collect_set("_g").alias("_g"))
     n, need = F.col("_n"), F.when(F.col("_n") < SHORT, F.col("_n").cast("double")).otherwise(F.lit(share) * F.col("_n"))
     all_equal = F.aggregate("_g", F.lit(0), lambda s, g: s + F.size(g["eq"]))
     found = found.filter(all_equal >= F.least(need, F.lit(float(least_equal))))
     whole = F.array_max(F.transform(F.filter("_g", lambda g: F.size(g["eq"]) >= need), lambda g: F.struct(F.size(g["eq"]).alias("e"), (-g["at"]).alias("b"))))
     found = found.withColumn("_w", whole).withColumn("_s", F.when(F.col("_w").isNull() & (n >= SHORT), _span(_runs(F.col("_g")), n, share)))
     part = F.when(F.col("_s.e") >= F.least(need, F.lit(float(least_equal))), F.col("_s"))
-    best = found.select("doc_id", "item_id", "_n", F.col("_w").isNotNull().alias("w"), F.coalesce("_w", part).alias("m")).filter("m IS NOT NULL")
-    best = best.groupBy("doc_id", "item_id", "_n").agg(F.max(F.struct("w", "m")).getField("m").alias("m"))
-    return best.select("doc_id", "item_id", F.col("m.e").cast("long").alias("n_equal"), n.cast("long").alias("n_item_words"), (-F.col("m.b")).cast("long").alias("first_word"))
+    best = F.struct(F.col("_w").isNotNull().alias("w"), F.coalesce("_w", part).alias("x")).alias("m")
+    return found.select("_did", "doc_id", "_th", "item_id", "_n", best).filter("m.x IS NOT NULL")
+
 
+def overlaps(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", most_seeds: int = MOST_SEEDS, least_equal: int = LEAST_EQUAL) -> DataFrame:
+    """doc_id, item_id, n_equal, n_item_words, first_word of each contaminated pair.
 
-def clean(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: str = "doc_id") -> DataFrame:
-    """docs, all columns, without those that hold a test item."""
-    out = overlaps(docs, items, share, id_col).select(F.col("doc_id").alias("_out")).distinct()
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"))
-    return own.join(out, F.col("_id").eqNullSafe(F.col("_out")), "left_anti").select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    The pair's best diagonal with the share, the first of equals; or else its best span.
+    """
+    best = _overlaps(docs, items, share, id_col, text_col, item_col, item_text, most_seeds, least_equal)
+    best = best.groupBy("doc_id", "item_id", "_n").agg(F.max("m").getField("x").alias("m"))
+    return best.select("doc_id", "item_id", F.col("m.e").cast("long").alias("n_equal"), F.col("_n").cast("long").alias("n_item_words"), (-F.col("m.b")).cast("long").alias("first_word"))
+
+
+def clean(docs: DataFrame, items: DataFrame, share: float = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs, all columns, without those whose id and text hold a test item."""
+    out = _overlaps(docs, items, share, id_col, text_col, "item_id", "text", MOST_SEEDS, LEAST_EQUAL)
+    out = durable(out.select("_did", "_th").distinct())
+    raw = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("_did"), F.xxhash64(raw).alias("_th"))
+    few = out.limit(MOST_OUT + 1).count() <= MOST_OUT
+    return own.join(F.broadcast(out) if few else out, ["_did", "_th"], "left_anti").select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
