@@ -12,7 +12,7 @@ keys; pairs under one key are then held against the chain's budgets before the f
 Distinct fingerprints are compared, not documents, so copies cost nothing.  Under one key, a tree of links
 is returned and not all pairs; keys with very many fingerprints are compared block against block.  A null id
 takes no part in the choice of the least id; rows that repeat an id are rows of their own.  An empty table
-gives an empty result.
+gives an empty result.  Other columns, whatever their names, are carried by ``keep_one`` alone.
 """
 
 from __future__ import annotations
@@ -21,15 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folioflow.llm import shingle_dedup
 from folioflow.llm.components import stars
-from folioflow.llm.hashing import word_spans
-from folioflow.llm.runtime import durable, keyed, read, small_batches, texts_of
+from folioflow.llm.fingerprints import bounds, budgets, fingerprint, shingle_hashes
+from folioflow.llm.runtime import durable, keyed, read, small_batches, texts_of, tidy
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Fingerprints under one key that a task compares at once; more are dealt out in blocks of half as many.
 BLOCK = 2048
 #: Keys with so few fingerprints are compared pair by pair.
@@ -38,45 +37,18 @@ FEW = 12
 NUMBER = 44
 
 
-def fingerprint(text: bytes, width: int) -> int:
-    words = text.translate(_LOWER).split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    start, stop = (x.tolist() for x in word_spans(np.frombuffer(joined, dtype=np.uint8), np.array([0, len(joined)])))
-    n = max(1, len(words) - width + 1)
-    digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[a:b], 42) for a, b in zip(start[:n], stop[min(width, len(words)) - 1 :], strict=True)]
-    ones = np.zeros(64, dtype=np.int64)
-    for i in range(0, n, 1 << 16):
-        block = np.array(hashes[i : i + (1 << 16)], dtype=np.uint64).astype(">u8").view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(block, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big", signed=True)
-
-
 def _fingerprints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = texts_of(batch.column("_text"))
             raw = memoryview(buf)
-            made = [fingerprint(bytes(raw[a:b]), width) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
+            made = [fingerprint(shingle_hashes(bytes(raw[a:b]), width)) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
             rest = [batch.column(c) for c in ("doc_id", "_did", "_th")]
             yield pa.RecordBatch.from_arrays([*rest, pa.array(made, pa.int64())], ["doc_id", "_did", "_th", "fp"])
 
     return run
 
 
-def budgets(segments: int, distance: int) -> list[int]:
-    """Differences allowed in the first l segments of a chain, for l = 0 to all."""
-    return [n * distance // segments for n in range(segments + 1)]
-
-
-def bounds(segments: int) -> list[tuple[int, int]]:
-    """Shift and width of each segment."""
-    cuts = [64 * i // segments for i in range(segments + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
-
-
 def patterns(segments: int, distance: int) -> list[tuple[int, ...]]:
     """Which segments after a chain's start are equal: for the longest prefix whose budget is one difference."""
     most = budgets(segments, distance)
@@ -195,14 +167,14 @@ def linked(fps: DataFrame, distance: int = 3, segments: int = 8) -> DataFrame:
     dealt = keys.join(size, "k").select("k", "fp", part)
     n = max(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = dealt.repartition(n, "k", "part").sortWithinPartitions("k", "part", "fp")
-    return dealt.mapInArrow(_link([s for s, _ in made], segments, distance), "u long, v long").distinct()
+    return dealt.mapInArrow(tidy(_link([s for s, _ in made], segments, distance)), "u long, v long").distinct()
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3, segments: int = 8) -> DataFrame:
     """doc_id, _did, _th, fp and component of each row: the least fingerprint of its component."""
     small_batches(docs.sparkSession)
     own = keyed(docs, id_col, text_col)
-    rows = durable(own.mapInArrow(_fingerprints(width), "doc_id long, _did long, _th long, fp long"))
+    rows = durable(own.mapInArrow(tidy(_fingerprints(width)), "doc_id long, _did long, _th long, fp long"))
     star = stars(linked(rows.select("fp").distinct(), distance, segments))
     root = star.select(F.col("u").alias("fp"), F.col("v").alias("_root"))
     return rows.join(root, "fp", "left").withColumn("component", F.coalesce("_root", "fp")).drop("_root")
@@ -215,9 +187,17 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return rows.join(least, "component").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = 3, segments: int = 8) -> DataFrame:
-    """docs, all columns, with the first document of each component; of rows that repeat it, one."""
-    rows = simhash_groups(docs, id_col, text_col, width, distance, segments)
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = 3, segments: int = 8, least: float | None = None) -> DataFrame:
+    """docs, all columns, with the first document of each component; of rows that repeat it, one.
+
+    With ``least``, texts are linked from that similarity of their shingles on (see shingle_dedup), and ``distance``
+    is of no account.  The first document is the one with the least id, of these the one with the least text hash;
+    a null id comes first.
+    """
+    if least is None:
+        rows = simhash_groups(docs, id_col, text_col, width, distance, segments)
+    else:
+        rows = shingle_dedup.groups(docs, id_col, text_col, width, least)
     first = rows.groupBy("component").agg(F.min(F.struct("_did", "_th")).alias("f")).select("f._did", "f._th")
     key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
