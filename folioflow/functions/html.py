@@ -19,9 +19,12 @@ from folioflow.functions.dom import Node, parse
 
 #: What the text of an article does without.
 NOISE_TAGS = frozenset("figure footer input link nav noscript script style sub sup table".split())
+#: Classes of what is no article text.
 NOISE_CLASSES = frozenset(
-    "book catlinks citation gallery gallerybox hatnote listaref metadata noprint normdaten portal-bar printfooter refbegin refbegin-columns "
-    "references reflist side-box sister-box sistersitebox NavFrame navigation-not-searchable mw-editsection mw-redirectedfrom mw-authority-control".split()
+    "book catlinks citation gallery gallerybox hatnote listaref metadata mw-authority-control mw-editsection-bracket mw-editsection-divider "
+    "mw-editsection-like mw-editsection-visualeditor mw-editsection mw-footer-container mw-gallery-packed mw-magiclink-isbn mw-mf-linked-projects "
+    "mw-redirectedfrom NavFrame navigation-not-searchable noprint normdaten portal-bar printfooter refbegin-columns refbegin references reflist "
+    "side-box sister-box sistersitebox vector-body-before-content vector-dropdown vector-header-container vector-page-toolbar vector-settings".split()
 )
 ABSTRACT_TAGS = frozenset("table div input script style link figure figcaption caption".split())
 ABSTRACT_CLASSES = frozenset(

@@ -31,16 +31,28 @@ def frequencies(df: DataFrame, key: Sequence[str], words: str) -> DataFrame:
 def deltas(df: DataFrame, key: Sequence[str], previous: str, current: str) -> DataFrame:
     """increase, decrease, sum and the proportional two, from the words of two revisions in one row.
 
-    Both lists are exploded together with a sign, so a token's two counts meet in one aggregation.
+    All is counted within the row, without a shuffle: both lists are sorted together with a sign (0 before 1), and
+    one pass keeps a token's two counts and adds them to the sums where the next token begins.
     """
-    signed = lambda c, s: F.transform(c, lambda w: F.struct(w.alias("w"), F.lit(s).alias("s")))
-    both = df.select(*key, F.explode_outer(F.concat(signed(F.col(previous), 0), signed(F.col(current), 1))).alias("t"))
-    counts = both.groupBy(*key, "t.w").agg(F.count_if(F.col("t.s") == 0).alias("p"), F.count_if(F.col("t.s") == 1).alias("c"))
-    d = F.col("c") - F.col("p")
-    total = lambda x: F.coalesce(F.sum(x), F.lit(0))
-    return counts.groupBy(*key).agg(
-        total(F.when(d > 0, d)).alias("increase"), total(F.when(d < 0, d)).alias("decrease"), total(d).alias("sum"),
-        total(F.when(d > 0, d / (F.col("p") + 1))).alias("proportional_increase"), total(F.when(d < 0, d / F.col("p"))).alias("proportional_decrease"),
+    signed = lambda c, s: F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda w: F.struct(w.alias("w"), F.lit(s).alias("s")))
+    both = F.array_append(F.sort_array(F.concat(signed(previous, 0), signed(current, 1))), F.struct(F.lit(None).cast("string").alias("w"), F.lit(0).alias("s")))
+    start = F.expr("named_struct('w', cast(null as string), 'p', 0L, 'c', 0L, 'up', 0L, 'down', 0L, 'more', 0.0D, 'less', 0.0D)")
+
+    def step(acc: Column, x: Column) -> Column:
+        d, same = acc["c"] - acc["p"], acc["w"].eqNullSafe(x["w"])
+        keep = lambda old, new, when: F.when(~same & when, old + new).otherwise(old)
+        return F.struct(
+            x["w"].alias("w"),
+            (F.when(same, acc["p"]).otherwise(F.lit(0).cast("long")) + (1 - x["s"])).cast("long").alias("p"),
+            (F.when(same, acc["c"]).otherwise(F.lit(0).cast("long")) + x["s"]).cast("long").alias("c"),
+            keep(acc["up"], d, d > 0).alias("up"), keep(acc["down"], d, d < 0).alias("down"),
+            keep(acc["more"], d / (acc["p"] + 1), d > 0).alias("more"), keep(acc["less"], d / F.greatest(acc["p"], F.lit(1)), d < 0).alias("less"),
+        )
+
+    out = df.select(*key, F.aggregate(both, start, step).alias("_d"))
+    return out.select(
+        *key, F.col("_d.up").alias("increase"), F.col("_d.down").alias("decrease"), (F.col("_d.up") + F.col("_d.down")).alias("sum"),
+        F.col("_d.more").alias("proportional_increase"), F.col("_d.less").alias("proportional_decrease"),
     )
 
 

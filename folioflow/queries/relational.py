@@ -233,11 +233,11 @@ def merge_pages(spark: SparkSession, d: str) -> DataFrame:
     return merged.select("user_id", F.array_join("ids", ",").alias("ids"), "first_type")
 
 
-@query("union_all_ndjson", "SELECT kind, count(*) AS n FROM (SELECT 'language' AS kind FROM (SELECT DISTINCT lang FROM documents) UNION ALL SELECT 'project' FROM (SELECT DISTINCT source FROM documents)) GROUP BY kind")
+@query("union_all_ndjson", """SELECT 'language' AS kind, '{"identifier":"' || lang || '"}' AS line FROM (SELECT DISTINCT lang FROM documents) UNION ALL SELECT 'project', '{"identifier":"' || source || '"}' FROM (SELECT DISTINCT source FROM documents)""")
 def union_lines(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     line = lambda kind, c: docs.select(c).distinct().select(F.lit(kind).alias("kind"), F.to_json(F.struct(F.col(c).alias("identifier"))).alias("line"))
-    return line("language", "lang").unionByName(line("project", "source")).groupBy("kind").agg(F.count("*").alias("n"))
+    return line("language", "lang").unionByName(line("project", "source"))
 
 
 # Windows
@@ -382,13 +382,13 @@ def hourly(spark: SparkSession, d: str) -> DataFrame:
     return N.hourly(log(spark, d), "timestamp", ["event_type"])
 
 
-@query("st_enrich_update")
+@query("st_enrich_diff", """, d AS (SELECT pairs.doc_id, CAST(coalesce(sum(c - p) FILTER (c > p), 0) AS BIGINT) AS increase, CAST(coalesce(sum(c - p) FILTER (c < p), 0) AS BIGINT) AS decrease, CAST(coalesce(sum(c - p), 0) AS BIGINT) AS sum
+  FROM pairs LEFT JOIN cnt ON pairs.doc_id = cnt.doc_id GROUP BY pairs.doc_id) SELECT rev_id, increase, decrease, sum FROM changes LEFT JOIN d ON doc_id = page_id WHERE kind = 'edit'""", C, PAIRS_SQL, _DELTA)
 def enrich(spark: SparkSession, d: str) -> DataFrame:
     """Edits joined with their page's text and counts of its words against the page before it."""
-    from folioflow.functions.wikitext import tokens
-
+    words = lambda c: F.regexp_extract_all(c, F.lit("[a-zA-Z]+"), F.lit(0))
     edits = changes(spark, d).filter("page_change_kind = 'edit'").select(F.col("revision.rev_id").alias("rev_id"), F.col("page.page_id").alias("doc_id"))
-    pairs = diff_pairs(spark, d).select("doc_id", tokens(F.col("previous")).alias("p"), tokens(F.col("current")).alias("c"))
+    pairs = diff_pairs(spark, d).select("doc_id", words("previous").alias("p"), words("current").alias("c"))
     diff = G.deltas(pairs, ["doc_id"], "p", "c")
     return edits.join(diff, "doc_id", "left").select("rev_id", "increase", "decrease", "sum")
 
@@ -420,7 +420,11 @@ def chunk(spark: SparkSession, d: str) -> DataFrame:
     return N.chunk_of(table(spark, d, "documents"), ["lang"], ["doc_id"], F.octet_length("text") + 1, 100_000).select("doc_id", "chunk")
 
 
-@query("snk_chunk_greedy")
+@query("snk_chunk_greedy", """WITH RECURSIVE own AS (SELECT lang, doc_id, octet_length(encode(text)) AS size, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS r FROM documents),
+fold AS (SELECT lang, doc_id, r, size + 1 AS held, 0 AS chunk FROM own WHERE r = 1
+  UNION ALL SELECT o.lang, o.doc_id, o.r, CASE WHEN f.held + o.size > 100000 THEN o.size + 1 ELSE f.held + o.size + 1 END, CASE WHEN f.held + o.size > 100000 THEN f.chunk + 1 ELSE f.chunk END
+  FROM fold f JOIN own o ON o.lang = f.lang AND o.r = f.r + 1)
+SELECT lang, doc_id, CAST(chunk AS BIGINT) AS chunk FROM fold""")
 def chunk_greedy(spark: SparkSession, d: str) -> DataFrame:
     own = table(spark, d, "documents").select("lang", "doc_id", F.octet_length("text").alias("size"))
     return N.greedy_chunks(own, "lang", "doc_id", "size", 100_000)
@@ -464,15 +468,18 @@ def sse(spark: SparkSession, d: str) -> DataFrame:
     return articles(spark, d).select("identifier", sse_frame(F.struct("name")).alias("frame"))
 
 
-@query("snk_json_array", "SELECT lang, '[' || string_agg('{\"d\":' || doc_id || '}', ',' ORDER BY doc_id) || ']' AS json FROM documents WHERE doc_id < 100 GROUP BY lang")
+@query("snk_json_array", "SELECT lang, doc_id // 500 AS page, '[' || string_agg('{\"d\":' || doc_id || '}', ',' ORDER BY doc_id) || ']' AS json FROM documents GROUP BY lang, doc_id // 500")
 def json_array(spark: SparkSession, d: str) -> DataFrame:
     from folioflow.sources.sinks import json_array as joined
 
-    return joined(table(spark, d, "documents").filter("doc_id < 100").select("lang", F.col("doc_id").alias("d")), ["lang"], ["d"])
+    # A list is one response: a language's documents in pages of 500 ids, so no list grows with the table.
+    return joined(table(spark, d, "documents").select("lang", F.floor(F.col("doc_id") / 500).alias("page"), F.col("doc_id").alias("d")), ["lang", "page"], ["d"])
 
 
-@query("snk_produce")
+@query("snk_produce", """SELECT '{"identifier":"/' || project || '/' || name || '","type":"article"}' AS key, '{"name":"' || name || '","identifier":' || identifier || '}' AS value, 'articles' AS topic FROM articles""", A)
 def produce(spark: SparkSession, d: str) -> DataFrame:
     from folioflow.sources.sinks import envelope
 
-    return envelope(articles(spark, d).withColumn("key", F.struct("name")), "articles").select(F.length("key").alias("k"), F.length("value").alias("v"), "topic")
+    key = F.struct(F.concat(F.lit("/"), F.col("is_part_of.identifier"), F.lit("/"), F.col("name")).alias("identifier"), F.lit("article").alias("type"))
+    made = envelope(articles(spark, d).select(key.alias("key"), "name", "identifier"), "articles")
+    return made.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "topic")

@@ -9,7 +9,7 @@ from folioflow.dataset import ARTICLES_SQL, PAIRS_SQL, articles, diff_pairs, eve
 from folioflow.functions import records as R
 from folioflow.functions import text as X
 from folioflow.functions.html import html_parts
-from folioflow.functions.wikitext import tokens
+from folioflow.functions.wikitext import scan_pattern, tokens
 from folioflow.queries.registry import query
 
 A = ARTICLES_SQL
@@ -43,7 +43,8 @@ def fn_topic(spark: SparkSession, d: str) -> DataFrame:
     return articles(spark, d).select("identifier", X.compacted_topic(p, F.col("namespace.identifier")).alias("compacted"), X.event_topic(p, F.col("event.type")).alias("by_event"))
 
 
-@query("fn_tokenize")
+@query("fn_tokenize", f"""SELECT identifier, CAST(len(w) AS INTEGER) AS n, md5(array_to_string(w, ' ')) AS digest FROM (SELECT identifier,
+  list_filter(regexp_extract_all(replace(wikitext, '\\n', ' '), '{scan_pattern(java=False).replace("'", "''")}', 1), lambda x: x <> '') AS w FROM articles)""", A)
 def fn_tokenize(spark: SparkSession, d: str) -> DataFrame:
     words = articles(spark, d).select("identifier", tokens(F.col("article_body.wikitext")).alias("w"))
     return words.select("identifier", F.size("w").alias("n"), F.md5(F.array_join("w", " ").cast("binary")).alias("digest"))
@@ -190,9 +191,9 @@ def fn_image(spark: SparkSession, d: str) -> DataFrame:
     return articles(spark, d).select("identifier", R.image(url, size, size).alias("i")).select("identifier", F.col("i.content_url").alias("url"), F.col("i.width").alias("width"))
 
 
-@query("fn_article_build", """SELECT identifier, '{"name":"' || name || '","identifier":' || CASE WHEN identifier = 0 THEN '' ELSE identifier || '' END || ',"license":"CC-BY-SA-4.0","noindex":true}' AS json FROM articles WHERE noindex AND identifier > 0""", A)
+@query("fn_article_build", """SELECT identifier, '{"name":"' || name || '",' || CASE WHEN identifier = 0 THEN '' ELSE '"identifier":' || identifier || ',' END || '"license":"CC-BY-SA-4.0"' || CASE WHEN noindex THEN ',"noindex":true' ELSE '' END || '}' AS json FROM articles""", A)
 def fn_article(spark: SparkSession, d: str) -> DataFrame:
-    own = articles(spark, d).filter("version.noindex AND identifier > 0").select("identifier", "name", F.col("version.noindex").alias("noindex"), R.license_row(F.col("in_language.identifier"))[0]["identifier"].alias("license"))
+    own = articles(spark, d).select("identifier", "name", F.col("version.noindex").alias("noindex"), R.license_row(F.col("in_language.identifier"))[0]["identifier"].alias("license"))
     return own.select("identifier", F.to_json(R.without_zeros(name=F.col("name"), identifier=F.col("identifier"), license=F.col("license"), noindex=F.col("noindex"))).alias("json"))
 
 

@@ -89,7 +89,7 @@ def decode_join(spark: SparkSession, d: str) -> DataFrame:
     return nested.select("identifier", F.col("versions.id").alias("version_id"), F.col("versions.chars").alias("chars"))
 
 
-@query("recode_json")
+@query("recode_json", "SELECT identifier, CAST(n_categories AS INTEGER) AS n, true AS same FROM articles", A)
 def recode_json(spark: SparkSession, d: str) -> DataFrame:
     """Categories as JSON text and back: what comes back is what went in."""
     a = articles(spark, d).select("identifier", "categories", F.to_json("categories").alias("has_parts"))

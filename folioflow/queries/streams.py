@@ -18,6 +18,9 @@ def _folder(spark: SparkSession) -> str:
     if not root:
         import tempfile
 
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+
         root = "file://" + tempfile.mkdtemp(prefix="folioflow-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root}/stream-{uuid.uuid4().hex}"
@@ -48,20 +51,29 @@ def stream_hourly(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out")
 
 
-@query("st_state_ttl")
+_STATE = """
+s AS (SELECT page_id AS page, max_by(ts, (ts, rev_id)) FILTER (kind = 'create' AND ns = 0) AS created, max_by(ts, (ts, rev_id)) FILTER (kind = 'move' AND ns = 0) AS moved,
+  min((ts, rev_id)) FILTER (kind IN ('create', 'move') AND ns = 0) AS since FROM changes GROUP BY page_id)"""
+
+
+@query("st_state_ttl", """SELECT s.page, any_value(created) AS created, any_value(moved) AS moved, count(*) FILTER (kind = 'edit' AND (ts, rev_id) > since) AS edits,
+  count(DISTINCT lower(user_text)) FILTER (kind = 'edit' AND (ts, rev_id) > since) AS unique_editors FROM s JOIN changes ON page_id = s.page GROUP BY s.page""", CHANGES_SQL, _STATE)
 def state_stream(spark: SparkSession, d: str) -> DataFrame:
     """The keyed state of every page after one pass over the changes."""
     folder = _folder(spark)
     c = changes(spark, d)
     rows = c.select(F.col("page.page_id").alias("page"), F.col("page_change_kind").alias("kind"), F.col("page.page_namespace").alias("namespace"), F.col("revision.rev_id").alias("version"), F.col("performer.user_text").alias("editor"), F.col("revision.rev_dt").alias("at"))
-    name = f"state_{uuid.uuid4().hex}"
     stream = jobs.integrity_stream(_landed(spark, rows, folder))
-    run = stream.writeStream.outputMode("update").format("memory").queryName(name).option("checkpointLocation", f"{folder}/at").trigger(once=True).start()
+    # The state's updates go to files, batch by batch; the last of each page is its state.
+    # One batch of all that is there: with time-outs a stream always has another batch to try.
+    keep = lambda batch, n: batch.write.mode("overwrite").parquet(f"{folder}/out/batch={n}")
+    run = stream.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{folder}/at").trigger(once=True).start()
     run.awaitTermination()
-    return spark.table(name)
+    found = spark.read.parquet(f"{folder}/out")
+    return found.groupBy("page").agg(F.max_by(F.struct("created", "moved", "edits", "unique_editors"), "batch").alias("s")).select("page", "s.*")
 
 
-@query("src_kafka_resume", "SELECT count(*) AS n FROM events")
+@query("src_kafka_resume", "SELECT event_id AS rev_id FROM events")
 def resume(spark: SparkSession, d: str) -> DataFrame:
     """A stream stopped and started again from its checkpoint reads each message once."""
     folder = _folder(spark)
@@ -69,10 +81,10 @@ def resume(spark: SparkSession, d: str) -> DataFrame:
     stream = _landed(spark, rows, folder)
     for _ in range(2):
         jobs.run_available(stream, f"{folder}/out", f"{folder}/at")
-    return spark.read.parquet(f"{folder}/out").agg(F.count("*").alias("n"))
+    return spark.read.parquet(f"{folder}/out")
 
 
-@query("src_commons_list", "SELECT count(*) AS files FROM (SELECT DISTINCT lang FROM documents)")
+@query("src_commons_list", """SELECT lang, '{"doc_id":' || doc_id || '}' AS line FROM documents""")
 def commons_list(spark: SparkSession, d: str) -> DataFrame:
     from folioflow.dataset import table
     from folioflow.sources.files import listing
@@ -80,4 +92,4 @@ def commons_list(spark: SparkSession, d: str) -> DataFrame:
     folder = f"{_folder(spark)}/pages"
     table(spark, d, "documents").select("lang", "doc_id").repartition("lang").write.partitionBy("lang").json(folder)
     files = listing(spark, folder, "*.json", recursive=True).withColumn("lang", F.regexp_extract("path", "lang=([^/]+)", 1))
-    return files.agg(F.countDistinct("lang").alias("files"))
+    return files.select("lang", F.explode(F.split(F.trim("text"), "\n")).alias("line"))

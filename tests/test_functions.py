@@ -9,7 +9,7 @@ from folioflow.functions import html as H
 from folioflow.functions import records as R
 from folioflow.functions import text as X
 from folioflow.functions.dom import parse
-from folioflow.functions.wikitext import words
+from folioflow.functions.wikitext import tokens
 from folioflow.operators import aggregates as G
 
 
@@ -52,11 +52,15 @@ def test_delta(spark):
     assert (b.increase, b["sum"]) == (0, 0)
 
 
-def test_words():
+def words(spark, text):
+    return spark.createDataFrame([(text,)], "t string").select(tokens(F.col("t"))).first()[0]
+
+
+def test_words(spark):
     text = "That's that :: :) > n95 Latin. follows 3rd: 2nd m80.\nwe'll follows: https://en.host.org/a/English total- \\\"Oh\\\" 43 هذا هو :: ありがとうございます この項目では、をご覧ください。"
-    assert words(text) == ["That's", "that", "n95", "Latin", "follows", "3rd", "2nd", "m80", "we'll", "follows", "total", "Oh", "هذا", "هو", "ありがとうございます", "この項目では", "をご覧ください"]
-    assert words('<ref name="x">William J.</ref> [[File:Coca-5cents edit1.jpg|thumb]]') == ["William", "J", "File", "Coca", "5cents", "edit1", "jpg", "thumb"]
-    assert words(None) == [] and words("") == []
+    assert words(spark, text) == ["That's", "that", "n95", "Latin", "follows", "3rd", "2nd", "m80", "we'll", "follows", "total", "Oh", "هذا", "هو", "ありがとうございます", "この項目では", "をご覧ください"]
+    assert words(spark, '<ref name="x">William J.</ref> [[File:Coca-5cents edit1.jpg|thumb]]') == ["William", "J", "File", "Coca", "5cents", "edit1", "jpg", "thumb"]
+    assert words(spark, None) == [] and words(spark, "") == []
 
 
 PAGE = """<html><head><base href="//en.host/wiki/"></head><body>
