@@ -23,7 +23,7 @@ def excluded(df: DataFrame, kinds: Sequence[str], kind: Column) -> DataFrame:
 
 
 def metadata(lines: DataFrame, group: Sequence[str], line: str = "line") -> DataFrame:
-    """Counts, size and a content hash (the sum of lines' hashes, so of any order) of each snapshot."""
+    """Counts and size of each snapshot."""
     size = F.sum(F.octet_length(line) + 1)
     return lines.groupBy(*group).agg(F.count("*").alias("total"), size_mb(size).alias("size_mb"))
 
@@ -80,3 +80,22 @@ def aggregation_copies(projects: DataFrame, namespaces: Sequence[int], group: st
 def hourly(log: DataFrame, ts: str, group: Sequence[str]) -> DataFrame:
     """Rows of each whole hour [h, h + 1)."""
     return log.groupBy(F.date_trunc("hour", ts).alias("hour"), *group).agg(F.count("*").alias("n"))
+
+
+def members(lines: DataFrame, group: Sequence[str], order: Sequence[str], line: str, limit: int) -> DataFrame:
+    """group, member, file, total, size_mb and version (md5 of the content) of each archive member.
+
+    A member holds the lines whose running size begins in its ``limit`` bytes, so it is at most that and one line.
+    """
+    own = chunk_of(lines, group, order, F.octet_length(line) + 1, limit).withColumnRenamed("chunk", "member")
+    content = F.concat(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, F.col(line).alias("_l")))), lambda x: x["_l"]), "\n"), F.lit("\n"))
+    made = own.groupBy(*group, "member").agg(F.count("*").alias("total"), content.alias("_c"))
+    name = F.concat_ws("_", *group, F.lit("chunk"), F.col("member").cast("string"))
+    return made.select(*group, "member", F.concat(name, F.lit(".ndjson")).alias("file"), "total", size_mb(F.octet_length("_c")).alias("size_mb"), F.md5(F.col("_c").cast("binary")).alias("version"))
+
+
+def stale(existing: DataFrame, current: DataFrame, group: str, per_request: int = 1000) -> DataFrame:
+    """key and request of the chunks that an export leaves behind, but for those of the group; existing and current: snapshot, key."""
+    old = existing.filter(~F.col("key").endswith(f"_{group}.tar.gz")).join(current.select("key"), "key", "left_anti")
+    n = F.row_number().over(Window.partitionBy("snapshot").orderBy("key")) - 1
+    return old.select("snapshot", "key", F.floor(n / per_request).cast("long").alias("request"))

@@ -52,6 +52,25 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     query.awaitTermination()
 
 
+def create_stream(spark: SparkSession, name: str, stream: DataFrame, if_not_exists: bool = False) -> None:
+    """A stream under a name for ``spark.sql``; ValueError if there is one and if_not_exists isn't given."""
+    if spark.catalog.tableExists(name):
+        if not if_not_exists:
+            raise ValueError(f"there is a stream {name}")
+        return
+    stream.createTempView(name)
+
+
+def drop_stream(spark: SparkSession, name: str, if_exists: bool = True) -> None:
+    if not spark.catalog.dropTempView(name) and not if_exists:
+        raise ValueError(f"no stream {name}")
+
+
+def push(spark: SparkSession, sql: str, path: str, checkpoint: str) -> None:
+    """Rows of a SQL query over a named stream, as they come; ends when all that is there has been read."""
+    run_available(spark.sql(sql), path, checkpoint)
+
+
 INTEGRITY = "page long, created timestamp, moved timestamp, edits long, unique_editors long"
 _STATE = "created long, created_set long, moved long, moved_set long, first_push long, editors array<string>, versions array<long>"
 
