@@ -30,6 +30,8 @@ from folioflow.llm.runtime import durable, longs, pieces, small_batches, texts_o
 BATCH_BYTES = 1 << 20
 #: Occurrences from which a core's windows travel one by one.
 FREQUENT = 5000
+#: So frequent cores that travel to the workers as an array.
+MOST_FREQUENT = 1_000_000
 #: The bit sets' size: eight bits for each repeated core, within these bounds.
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 30
 #: Digests that a task remembers; beyond it forgets them, and the buckets find what it missed.
@@ -120,15 +122,23 @@ def _count_cores(kind: type):
     return run
 
 
+class _Few:
+    """A set of core hashes as a sorted array."""
+
+    def __init__(self, cores: np.ndarray):
+        self.cores = np.sort(cores)
+
+    def has(self, cores: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.cores, cores)
+        return self.cores[np.minimum(at, len(self.cores) - 1)] == cores if len(self.cores) else np.zeros(len(cores), dtype=bool)
+
+
 class _Marks:
     """A set of core hashes as bits."""
 
     def __init__(self, words: np.ndarray):
         self.words, self.mask = words, np.uint64(len(words) * 64 - 1)
 
-    def __contains__(self, core: int) -> bool:
-        return bool(self.has(np.array([core], dtype=np.uint64))[0])
-
     def has(self, cores: np.ndarray) -> np.ndarray:
         at = cores & self.mask
         return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
@@ -145,6 +155,14 @@ def _marks(cores: DataFrame, bits: int) -> _Marks:
     return _Marks(words)
 
 
+def _frequent(cores: DataFrame, bits: int) -> _Few | _Marks:
+    """Cores that are very frequent: an array of MOST_FREQUENT hashes at most (8 MB), beyond it a bit set."""
+    own = cores.filter(F.col("n") >= FREQUENT)
+    if own.limit(MOST_FREQUENT + 1).count() > MOST_FREQUENT:
+        return _marks(own, bits)
+    return _Few(own.select("core").toArrow().column("core").to_numpy().astype(np.int64).view(np.uint64))
+
+
 def _strings(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) if rows else [[] for _ in range(9)]
     kinds = [pa.int64()] * 5 + [pa.int32()] * 3 + [pa.binary()]
@@ -152,6 +170,11 @@ def _strings(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(cols, kinds, strict=True)], names)
 
 
+def _dealt(did: int, th: int) -> int:
+    """Where a found range goes: by its document, as copies have one text hash."""
+    return ((did * 0x9E3779B97F4A7C15) ^ th) & (1 << 62) - 1
+
+
 def _pack(kind: type, shared, frequent):
     """Packed strings of marked cores; equal ones of one task meet here."""
 
@@ -175,9 +198,9 @@ def _pack(kind: type, shared, frequent):
             if kind.first_stays and spot < other:
                 seen[digest] = spot
                 return False
-            rows.append((th, 0, did, th, start, n, 0, _RANGE, b""))
+            rows.append((_dealt(did, th), 0, did, th, start, n, 0, _RANGE, b""))
             if not kind.first_stays and other is not None:
-                rows.append((other[1], 0, *other, n, 0, _RANGE, b""))
+                rows.append((_dealt(*other[:2]), 0, *other, n, 0, _RANGE, b""))
                 seen[digest] = None
             return True
 
@@ -362,12 +385,12 @@ def repeated_ranges(docs: DataFrame, kind: type) -> DataFrame:
     total, weight = cores.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     bits = min(MOST_BITS, max(LEAST_BITS, 1 << (8 * total).bit_length()))
     shared = spark.sparkContext.broadcast(_marks(cores, bits))
-    often = spark.sparkContext.broadcast(_marks(cores.filter(F.col("n") >= FREQUENT), bits))
+    often = spark.sparkContext.broadcast(_frequent(cores, bits))
     strings = docs.mapInArrow(tidy(_pack(kind, shared, often)), STRINGS)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1 << 16, weight * 600 // (64 << 20)))
     if kind is Bytes:
-        ranged = F.when(F.col("kind") == _RANGE, F.pmod("th", F.lit(buckets)).cast("int")).otherwise(_range_of(cores, total, buckets))
-        strings = strings.repartition(buckets, ranged)
+        ranged = F.when(F.col("kind") == _RANGE, F.pmod("core", F.lit(buckets)).cast("int")).otherwise(_range_of(cores, total, buckets))
+        strings = strings.repartition(buckets, F.get(F.lit(_places(spark, buckets)), ranged))
     else:
         strings = strings.repartition(buckets, "core")
     strings = strings.sortWithinPartitions("core", "did", "th", "start")
@@ -385,8 +408,8 @@ def _range_of(cores: DataFrame, total: int, buckets: int, sample: int = 8192):
     drawn = sorted((r.lead, r.core, min(r.n, FREQUENT)) for r in cores.filter(part).limit(4 * sample).collect())
     if not drawn:
         return F.lit(0)
-    sums = np.cumsum([n for _, _, n in drawn])
-    want = np.searchsorted(sums, np.arange(1, min(buckets, 1024)) * (sums[-1] / min(buckets, 1024)))
+    sums, ranges = np.cumsum([n for _, _, n in drawn]), min(buckets, 1024)
+    want = np.searchsorted(sums, np.arange(1, ranges) * (sums[-1] / ranges))
     cuts = sorted({drawn[min(int(i), len(drawn) - 1)][:2] for i in want})
 
     def at(lo: int, hi: int):
@@ -397,7 +420,15 @@ def _range_of(cores: DataFrame, total: int, buckets: int, sample: int = 8192):
         below = (F.col("lead") < lead) | ((F.col("lead") == lead) & (F.col("core") < core))
         return F.when(below, at(lo, mid)).otherwise(at(mid + 1, hi))
 
-    return at(0, len(cuts)).cast("int")
+    each = max(1, buckets // ranges)  # beyond 1024 ranges each is dealt on by the core's hash
+    return (at(0, len(cuts)) * each + F.pmod("core", F.lit(each))).cast("int")
+
+
+def _places(spark, tasks: int) -> list[int]:
+    """For each task a number whose hash Spark's partitioner deals to it, so that ranges stand in the tasks in order."""
+    own = spark.range(0, 24 * tasks + 64, numPartitions=1).select(F.col("id").cast("int").alias("x"))
+    found = dict(own.select("x", F.pmod(F.hash("x"), F.lit(tasks)).alias("t")).groupBy("t").agg(F.min("x").alias("x")).collect())  # tasks rows
+    return [found.get(t, t) for t in range(tasks)]
 
 
 def covered(ranges: pa.ListScalar | None, n: int, window: int) -> np.ndarray | None:

@@ -2,10 +2,12 @@
 
 Texts are UTF-8 bytes.  A byte is removed if a string of 400 bytes that covers it also starts anywhere else,
 in the same document or another.  Suffixes that share an anchor travel packed to the range of the anchored
-suffix; a range sorts the starts by multikey quicksort.  Ranges are cut between whole keys, so a comparison
-across a boundary has nothing left to find.  Rows that repeat id and text are one document with one result
-(their strings are not counted twice by that alone).  Null and empty texts have no bytes; an empty table
-gives an empty result.
+suffix, ranges and tasks in one order; a range sorts the starts by multikey quicksort.  Ranges are cut between
+whole keys (the leading eight bytes and the hash of the 200 from the anchor on), so suffixes on two sides of a
+boundary differ before their 200th byte, and a comparison across it has nothing left to find.  Rows that repeat id and text are one document with one result
+(their strings are not counted twice by that alone).  A null id is an id; null and empty texts have no bytes; very
+long texts are searched whole; of equal strings all go; an empty table gives an empty result; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations
