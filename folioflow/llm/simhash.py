@@ -183,8 +183,10 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, distance: int = 3, segments: int = 8) -> DataFrame:
     """doc_id, fp and component_id, the least id of its component, of each row."""
     rows = simhash_groups(docs, id_col, text_col, width, distance, segments)
-    least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "component").select("doc_id", "fp", "component_id")
+    # Least ids meet by fingerprint first, so a component of many copies is a few rows.
+    marks = rows.groupBy("fp", "component").agg(F.min("doc_id").alias("_least"))
+    least = marks.groupBy("component").agg(F.min("_least").alias("component_id"))
+    return rows.join(marks.join(least, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, distance: int = 3, segments: int = 8, least: float | None = None) -> DataFrame:
