@@ -10,7 +10,7 @@ A group is about 4 MB of documents of one task.  It sends each distinct chunk on
 once, so a chunk that a third of all documents hold costs one row a group.  Texts and ids travel compressed.
 
 Null and empty texts have no tokens; rows that repeat an id each have a row; an empty table gives an empty
-result; other columns are not read.  The result is that of the tokenizers library on the whole text, with
+result; other columns, whatever their names, are not read; very long texts make groups of their own.  The result is that of the tokenizers library on the whole text, with
 truncation and padding unused.
 """
 

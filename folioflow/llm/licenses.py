@@ -10,7 +10,8 @@ verified if the template places voted for cover at least ``share`` of its grams;
 A base phrase is a template all of whose grams must vote on one diagonal: that is a place where its words
 stand consecutively.  Base labels come from those, labels also from the longer templates.  score is 1 with a
 base label, else the best verified share, else 0.  Null and empty texts have no words; rows that repeat id
-and text are one document and get one result each; an empty table gives an empty result.
+and text are one document and get one result each; a null id is an id; very long texts are scanned whole; spans that
+tie are all reported; an empty table gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ Only rows whose crc32 of the id's decimal digits is not 2 modulo 4 teach.  At mo
 with the least hashes of their ids, are used (the documented bound; their whole texts are); one task updates the
 weights from their sparse rows in a fixed order.  Labels, lang, source and ids are no inputs of a score.
 A null id is not held out and teaches nothing; null labels are left out; a null or empty text has only the bias;
-with no labels at all every score is 0.5; an empty table gives an empty result.
+with no labels at all every score is 0.5; an empty table gives an empty result.  Rows that repeat an id are scored
+each and teach each; repeated labels of an id teach once, as bad if they disagree; ties in the order of teaching go
+by id; very long texts are read whole; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ sizes of the ranges then give every record its place in the order and the bytes
 the eighth of all bytes in which it, or the first record of its light group, begins.  Slots follow the order.
 
 Size is the text's UTF-8 bytes (null: none) plus 1.  Null ids are ids like others; rows that repeat id and
-text are ordered arbitrarily among themselves but are alike; an empty table gives an empty result.
+text are ordered arbitrarily among themselves but are alike; very long texts are records like others, and one
+heavier than a shard's share fills it; ties in the order go by id and size; an empty table gives an empty result;
+other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

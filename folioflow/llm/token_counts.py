@@ -10,7 +10,8 @@ several sections goes, by ``rule``, to
     end       the one where it ends.
 
 The counts of a text's sections add up to its tokens.  A null text is an empty one: one empty section with
-no tokens.  Rows that repeat an id each have their sections; an empty table gives an empty result.
+no tokens.  Rows that repeat an id each have their sections; a null id is carried; very long texts are encoded
+whole; an empty table gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
