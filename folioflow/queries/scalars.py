@@ -264,7 +264,7 @@ _PARTS = {
     "html_categories": (lambda: F.to_json("p.categories"), """'[{"name":"Category:C' || doc_id || '","url":"https://en.host/wiki/Category:C' || doc_id || '"}]'"""),
     "html_abstract": (lambda: F.col("p.abstract"), "'Alpha is beta number ' || doc_id || '.'"),
     "html_images": (lambda: F.to_json("p.images"), """'[{"content_url":"https://i/x' || doc_id || '.png","alternative_text":"x","caption":"Cap","width":20,"height":30}]'"""),
-    "html_text": (lambda: F.substring("p.text", 1, 35), "substring('Alpha (born 1) is beta number ' || doc_id || '. Box ' || doc_id || ' Born 1 May', 1, 35)"),
+    "html_text": (lambda: F.col("p.text"), "'Alpha (born 1) is beta number ' || doc_id || '. Box ' || doc_id || ' Born 1 May Works A B Life Text one. One Two Cap References First a'"),
     "html_infobox": (lambda: F.get_json_object("p.infoboxes", "$[0].has_parts[0].value"), "'1 May'"),
     "html_infoboxes": (lambda: F.get_json_object("p.infoboxes", "$[0].has_parts[1].values"), """'["A","B"]'"""),
     "html_sections": (lambda: F.get_json_object("p.sections", "$[1].name"), "'Life'"),
@@ -300,8 +300,9 @@ def proj_structured(spark: SparkSession, d: str) -> DataFrame:
     return out.select("identifier", "name", F.col("version.identifier").alias("version"), "infoboxes", F.col("attribution.parsed_references_count").alias("parsed_references"), F.col("attribution.last_revised").alias("last_revised"))
 
 
-@query("agg_rel_dedup")
+@query("agg_rel_dedup", "SELECT identifier, 'Category:' || i AS name, 'https://last/' || i AS url FROM (SELECT identifier, unnest(range(1, n_categories + 1)) AS i FROM articles)", A)
 def rel_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """Relations unique by name, the last address wins."""
-    rel = articles(spark, d).select("identifier", F.explode(F.concat("categories", "categories")).alias("c"))
-    return rel.groupBy("identifier", F.col("c.name").alias("name")).agg(F.max("c.url").alias("url"))
+    """Relations unique by name, the last address wins: each is there twice, the second time with another address."""
+    again = F.transform("categories", lambda c: F.struct(c["name"].alias("name"), F.concat(F.lit("https://last/"), F.substring_index(c["name"], ":", -1)).alias("url")))
+    rel = articles(spark, d).select("identifier", F.posexplode(F.concat("categories", again)).alias("n", "c"))
+    return rel.groupBy("identifier", F.col("c.name").alias("name")).agg(F.max_by("c.url", "n").alias("url"))
