@@ -199,7 +199,11 @@ def chunk_n(spark: SparkSession, d: str) -> DataFrame:
     return made.select("lang", "chunk", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("ids"))
 
 
-@query("grp_binpack")
+@query("grp_binpack", """WITH RECURSIVE c AS (SELECT source, count(*) AS n FROM documents GROUP BY source), total AS (SELECT sum(n) / 4 AS mean FROM c),
+a AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS grp FROM c, total WHERE n > mean), o AS (SELECT source, n, row_number() OVER (ORDER BY n DESC, source) AS r FROM c, total WHERE n <= mean),
+f AS (SELECT CAST(0 AS BIGINT) AS r, CAST('' AS VARCHAR) AS source, CAST(0 AS BIGINT) AS bin, [CAST(0 AS BIGINT) for x in range(greatest(1, 4 - (SELECT count(*) FROM a)))] AS bins
+  UNION ALL SELECT o.r, o.source, CAST(list_position(bins, list_min(bins)) AS BIGINT), [CASE WHEN j = list_position(bins, list_min(bins)) THEN bins[j] + n ELSE bins[j] END for j in range(1, len(bins) + 1)] FROM f JOIN o ON o.r = f.r + 1)
+SELECT CAST(grp AS INTEGER) AS grp, source FROM a UNION ALL SELECT CAST((SELECT count(*) FROM a) + bin - 1 AS INTEGER), source FROM f WHERE r > 0""")
 def binpack(spark: SparkSession, d: str) -> DataFrame:
     """Sources in four groups of near equal numbers of documents; the sources' counts are one row each."""
     counts = {r.source: r["count"] for r in table(spark, d, "documents").groupBy("source").count().collect()}

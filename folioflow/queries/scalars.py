@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.dataset import ARTICLES_SQL, PAIRS_SQL, articles, diff_pairs, events, table
@@ -208,40 +210,102 @@ def fn_license(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("lang").distinct().select("lang", R.license_row(F.col("lang"))[0]["identifier"].alias("identifier"))
 
 
-@query("html_links", "SELECT page_id, CAST(len(regexp_extract_all(html, '<a href=')) AS BIGINT) AS n FROM pages")
+#: SQL of the plain text of markup without tags: entities of the driver's pages, notes in brackets, white space.
+_PLAIN = "replace(replace(regexp_replace(regexp_replace({0}, '&quot;?', '\"', 'g'), '&amp;?', '&', 'g'), '&copy;', '©'), '&middot;', '·')"
+_PLAIN = f"regexp_replace(regexp_replace({_PLAIN}, '\\[[^\\]]+\\]|•', '', 'g'), '\\s+', ' ', 'g')"
+_PLAIN = f"trim(regexp_replace(regexp_replace({_PLAIN}, '\\s+([:;：；, ，、.!?])', '\\1', 'g'), '(\\()\\s+|\\s+(\\))', '\\1\\2', 'g'))"
+
+
+@query(
+    "html_links",
+    f"""SELECT page_id, array_to_string([regexp_extract(a, 'href="([^"]*)"', 1) || '=' || {_PLAIN.format("regexp_extract(a, '>([^<]*)<', 1)")} for a in regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>')], '|') AS links FROM pages""",
+)
 def html_links(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses and texts of all links of a page, in order."""
     made = table(spark, d, "pages").select("page_id", html_parts(F.col("html")).alias("p"))
-    return made.select("page_id", F.size("p.links").cast("long").alias("n"))
+    return made.select("page_id", F.array_join(F.transform("p.links", lambda x: F.concat(x["url"], F.lit("="), x["text"])), "|").alias("links"))
 
 
-@query("html_parts")
+@query(
+    "html_parts",
+    f"""SELECT page_id, '' AS abstract, {_PLAIN.format("regexp_replace(regexp_replace(regexp_replace(html, '<!--.*?-->|<head>.*?</head>', '', 'gs'), '</?(p|br|li|div|td|th|tr|dd|dt|h[a-z0-9]*)(\\s[^>]*)?>', ' ', 'g'), '<[^>]*>', '', 'g')")} AS text,
+  len(regexp_extract_all(html, '<img ')) AS images, len(regexp_extract_all(html, '<section')) AS sections FROM pages""",
+)
 def html_all(spark: SparkSession, d: str) -> DataFrame:
+    """Whole text and numbers of parts of the driver's pages."""
     made = table(spark, d, "pages").select("page_id", html_parts(F.col("html")).alias("p"))
-    return made.select("page_id", F.col("p.abstract").alias("abstract"), F.char_length("p.text").alias("chars"), F.size("p.templates").alias("templates"), F.size("p.categories").alias("categories"), F.size("p.images").alias("images"), F.col("p.infoboxes").alias("infoboxes"), F.col("p.sections").alias("sections"), F.size("p.references").alias("references"))
+    sections = F.coalesce(F.json_array_length("p.sections"), F.lit(0)).cast("long").alias("sections")
+    return made.select("page_id", F.col("p.abstract").alias("abstract"), F.col("p.text").alias("text"), F.size("p.images").cast("long").alias("images"), sections)
 
 
-#: One page with what the driver's pages lack, numbered so that each row differs.
+#: A page with what the driver's pages lack, told apart by its document {n}; a pair is repeated for {i} = 1, 2, ...
+#: (two to five times, by document), joined by its first part.
 PAGE = (
-    '<html><head><base href="//en.host/wiki/"></head><body><section data-mw-section-id="0"><p>Alpha (born 1) is <a href="./Beta">beta</a> number {n}.</p>'
-    '<table class="infobox"><caption>Box {n}</caption><tr><th>Born</th><td>1 May</td></tr><tr><th>Works</th><td><ul><li>A</li><li>B</li></ul></td></tr></table>'
-    '<span data-mw=\'{{"parts":[{{"template":{{"target":{{"wt":"T","href":"./Template:T{n}"}}}}}}]}}\'></span></section>'
-    '<section data-mw-section-id="1"><h2 id="Life">Life</h2><p>Text one.</p><ul><li>One<ul><li>Two</li></ul></li></ul><figure><img src="//i/x{n}.png" width="20" height="30" alt="x"><figcaption>Cap</figcaption></figure></section>'
-    '<section><h2 id="References">References</h2><ol class="references"><li id="r1">First <a href="https://a/">a</a></li></ol></section>'
-    '<link rel="mw:PageProp/Category" href="./Category:C{n}#x"></body></html>'
+    '<html><head><base href="//en.host/wiki/"></head><body><section data-mw-section-id="0"><p>Alpha (born {n}) is ',
+    (" ", '<a href="./Beta{i}">beta {i}</a>'),
+    ' number {n}.</p><table class="infobox"><caption>Box {n}</caption><tr><th>Born</th><td>{n} May</td></tr><tr><th>Works</th><td><ul>',
+    ("", "<li>A{i}</li>"),
+    "</ul></td></tr></table>",
+    ("", '<span data-mw=\'{"parts":[{"template":{"target":{"wt":"T","href":"./Template:T{n}-{i}"}}}]}\'></span>'),
+    '</section><section data-mw-section-id="1"><h2 id="Life">Life {n}</h2>',
+    ("", "<p>Text {i} of {n}.</p>"),
+    "<ul>",
+    ("", "<li>One {i}<ul><li>Two {i}</li></ul></li>"),
+    "</ul>",
+    ("", '<div><figure><img src="//i/x{n}-{i}.png" width="20{i}" height="30{i}" alt="x{i}"><figcaption>Cap {i}</figcaption></figure></div>'),
+    '</section><section><h2 id="References">References</h2><ol class="references">',
+    ("", '<li id="r{i}">Note {i} <a href="https://a/{n}/{i}">a{i}</a></li>'),
+    "</ol></section>",
+    ("", '<link rel="mw:PageProp/Category" href="./Category:C{n}-{i}#x">'),
+    "</body></html>",
 )
+_MADE = "made AS (SELECT doc_id, doc_id AS n, range(1, doc_id % 4 + 3) AS r FROM documents)"
+
+
+def _filled(text: str, **values: Column) -> Column:
+    return F.concat(*[values[x].cast("string") if k % 2 else F.lit(x) for k, x in enumerate(re.split(r"\{([ni])\}", text))])
+
+
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("doc_id")
+    each = lambda sep, text: F.array_join(F.transform(F.sequence(F.lit(1), (n % 4 + 2).cast("int")), lambda i: _filled(text, n=n, i=i)), sep)
+    page = F.concat(*[_filled(x, n=n) if isinstance(x, str) else each(*x) for x in PAGE])
+    return table(spark, d, "documents").select("doc_id", html_parts(page).alias("p"))
+
 
+def _sql(text: str) -> str:
+    """SQL of a text with {n} and {i}."""
+    return "'" + re.sub(r"\{([ni])\}", r"' || \1 || '", text.replace("'", "''")) + "'"
 
-@query("html_article_parts", """SELECT doc_id, 'Alpha is beta number ' || doc_id || '.' AS abstract, 'Template:T' || doc_id AS template, 'https://en.host/wiki/Category:C' || doc_id AS category,
-  CAST(30 AS INTEGER) AS height, 'Cap' AS caption, 'Box ' || doc_id AS box, 'First a' AS reference, '["Abstract", "Life"]' AS sections FROM documents""")
+
+def _list(sep: str, text: str) -> str:
+    """SQL of a text repeated for each {i}."""
+    return f"array_to_string([{_sql(text)} for i in r], '{sep}')"
+
+
+def _wrapped(*parts: str | tuple[str, str]) -> str:
+    """SQL of texts and repeated ones behind each other."""
+    return " || ".join(_sql(x) if isinstance(x, str) else _list(*x) for x in parts)
+
+
+_ABSTRACT = _wrapped("Alpha is ", (" ", "beta {i}"), " number {n}.")
+_BOX = _wrapped('[{"type": "infobox", "name": "Box {n}", "has_parts": [{"type": "field", "name": "Born", "value": "{n} May"}, {"type": "list", "name": "Works", "value": "', (" ", "A{i}"), '", "values": [', (", ", '"A{i}"'), "]}]}]")
+_SECTIONS = _wrapped(
+    '[{"type": "section", "name": "Abstract", "has_parts": [{"type": "paragraph", "value": "Alpha (born {n}) is ', (" ", "beta {i}"), ' number {n}.", "links": [',
+    (", ", '{"url": "https://en.host/wiki/Beta{i}", "text": "beta {i}"}'), ']}]}, {"type": "section", "name": "Life {n}", "has_parts": [',
+    (", ", '{"type": "paragraph", "value": "Text {i} of {n}."}'), ', {"type": "list", "has_parts": [',
+    (", ", '{"type": "list_item", "value": "One {i}", "has_parts": [{"type": "list", "has_parts": [{"type": "list_item", "value": "Two {i}"}]}]}'), "]}]}]",
+)
+
+
+@query("html_article_parts", f"""SELECT doc_id, {_ABSTRACT} AS abstract, len(r) AS templates, len(r) AS categories, len(r) AS images, len(r) AS refs, 2 * len(r) AS links, 'Box ' || n AS box, 'Abstract|Life ' || n AS sections FROM made""", _MADE)
 def html_article(spark: SparkSession, d: str) -> DataFrame:
-    head, *rest = PAGE.replace("{{", "{").replace("}}", "}").split("{n}")
-    n = F.col("doc_id").cast("string")
-    page = F.concat(F.lit(head), *[x for r in rest for x in (n, F.lit(r))])
-    made = table(spark, d, "documents").select("doc_id", html_parts(page).alias("p"))
-    return made.select(
-        "doc_id", F.col("p.abstract").alias("abstract"), F.col("p.templates")[0]["name"].alias("template"), F.col("p.categories")[0]["url"].alias("category"),
-        F.col("p.images")[0]["height"].alias("height"), F.col("p.images")[0]["caption"].alias("caption"), F.get_json_object("p.infoboxes", "$[0].name").alias("box"),
-        F.col("p.references")[0]["text"].alias("reference"), F.regexp_replace(F.get_json_object("p.sections", "$[*].name"), ",", ", ").alias("sections"),
+    """All parts of a page in one pass."""
+    sizes = {"templates": "templates", "categories": "categories", "images": "images", "refs": "references", "links": "links"}
+    names = F.from_json("p.sections", "array<struct<name:string>>")
+    return _pages(spark, d).select(
+        "doc_id", F.col("p.abstract").alias("abstract"), *[F.size(f"p.{v}").cast("long").alias(k) for k, v in sizes.items()],
+        F.get_json_object("p.infoboxes", "$[0].name").alias("box"), F.array_join(F.transform(names, lambda s: s["name"]), "|").alias("sections"),
     )
 
 
@@ -250,32 +314,49 @@ def html_names(spark: SparkSession, d: str) -> DataFrame:
     return articles(spark, d).select("identifier", F.array_join(F.transform("categories", lambda c: c["name"]), ",").alias("names"))
 
 
-def _pages(spark: SparkSession, d: str) -> DataFrame:
-    head, *rest = PAGE.replace("{{", "{").replace("}}", "}").split("{n}")
-    n = F.col("doc_id").cast("string")
-    page = F.concat(F.lit(head), *[x for r in rest for x in (n, F.lit(r))])
-    return table(spark, d, "documents").select("doc_id", html_parts(page).alias("p"))
+def _life() -> Column:
+    """Parts of the second section."""
+    item = "struct<value:string,has_parts:array<struct<has_parts:array<struct<value:string>>>>>"
+    return F.from_json(F.get_json_object("p.sections", "$[1].has_parts"), f"array<struct<type:string,value:string,has_parts:array<{item}>>>")
+
+
+def _paragraphs() -> Column:
+    return F.array_join(F.transform(F.filter(_life(), lambda x: x["type"] == "paragraph"), lambda x: x["value"]), "|")
+
+
+def _items() -> Column:
+    items = F.flatten(F.transform(F.filter(_life(), lambda x: x["type"] == "list"), lambda x: x["has_parts"]))
+    return F.array_join(F.transform(items, lambda x: F.concat(x["value"], F.lit("/"), x["has_parts"][0]["has_parts"][0]["value"])), "|")
 
 
 #: Each part of the page as a column, and the SQL of its value.
 _PARTS = {
-    "html_base_url": (lambda: F.col("p.base_url"), "'https://en.host/wiki/'"),
-    "html_templates": (lambda: F.to_json("p.templates"), """'[{"name":"Template:T' || doc_id || '","url":"https://en.host/wiki/Template:T' || doc_id || '"}]'"""),
-    "html_categories": (lambda: F.to_json("p.categories"), """'[{"name":"Category:C' || doc_id || '","url":"https://en.host/wiki/Category:C' || doc_id || '"}]'"""),
-    "html_abstract": (lambda: F.col("p.abstract"), "'Alpha is beta number ' || doc_id || '.'"),
-    "html_images": (lambda: F.to_json("p.images"), """'[{"content_url":"https://i/x' || doc_id || '.png","alternative_text":"x","caption":"Cap","width":20,"height":30}]'"""),
-    "html_text": (lambda: F.col("p.text"), "'Alpha (born 1) is beta number ' || doc_id || '. Box ' || doc_id || ' Born 1 May Works A B Life Text one. One Two Cap References First a'"),
-    "html_infobox": (lambda: F.get_json_object("p.infoboxes", "$[0].has_parts[0].value"), "'1 May'"),
-    "html_infoboxes": (lambda: F.get_json_object("p.infoboxes", "$[0].has_parts[1].values"), """'["A","B"]'"""),
-    "html_sections": (lambda: F.get_json_object("p.sections", "$[1].name"), "'Life'"),
-    "html_paragraphs": (lambda: F.get_json_object("p.sections", "$[1].has_parts[0].value"), "'Text one.'"),
-    "html_list_items": (lambda: F.get_json_object("p.sections", "$[1].has_parts[1].has_parts[0].has_parts[0].has_parts[0].value"), "'Two'"),
-    "html_references": (lambda: F.to_json("p.references"), """'[{"id":"r1","index":1,"text":"First a","links":[{"url":"https://a/","text":"a"}]}]'"""),
-}
+    "html_base_url": (lambda: F.concat("p.base_url", F.element_at("p.links", -1)["url"]), _sql("https://en.host/wiki/https://a/{n}/") + " || len(r)"),
+    "html_templates": (lambda: F.to_json("p.templates"), _wrapped("[", (",", '{"name":"Template:T{n}-{i}","url":"https://en.host/wiki/Template:T{n}-{i}"}'), "]")),
+    "html_categories": (lambda: F.to_json("p.categories"), _wrapped("[", (",", '{"name":"Category:C{n}-{i}","url":"https://en.host/wiki/Category:C{n}-{i}"}'), "]")),
+    "html_abstract": (lambda: F.col("p.abstract"), _ABSTRACT),
+    "html_images": (lambda: F.to_json("p.images"), _wrapped("[", (",", '{"content_url":"https://i/x{n}-{i}.png","alternative_text":"x{i}","caption":"Cap {i}","width":20{i},"height":30{i}}'), "]")),
+    "html_text": (
+        lambda: F.col("p.text"),
+        _wrapped(
+            "Alpha (born {n}) is ", (" ", "beta {i}"), " number {n}. Box {n} Born {n} May Works ", (" ", "A{i}"), " Life {n} ", (" ", "Text {i} of {n}."), " ", (" ", "One {i} Two {i}"),
+            " ", (" ", "Cap {i}"), " References ", (" ", "Note {i} a{i}"),
+        ),
+    ),
+    "html_infobox": (
+        lambda: F.get_json_object("p.infoboxes", "$[0].has_parts"),
+        _wrapped('[{"type":"field","name":"Born","value":"{n} May"},{"type":"list","name":"Works","value":"', (" ", "A{i}"), '","values":[', (",", '"A{i}"'), "]}]"),
+    ),
+    "html_infoboxes": (lambda: F.col("p.infoboxes"), _BOX),
+    "html_sections": (lambda: F.col("p.sections"), _SECTIONS),
+    "html_paragraphs": (_paragraphs, _list("|", "Text {i} of {n}.")),
+    "html_list_items": (_items, _list("|", "One {i}/Two {i}")),
+    "html_references": (lambda: F.to_json("p.references"), _wrapped("[", (",", '{"id":"r{i}","index":{i},"text":"Note {i} a{i}","links":[{"url":"https://a/{n}/{i}","text":"a{i}"}]}'), "]")),
+}
 
 for _name, (_column, _value) in _PARTS.items():
 
-    @query(_name, f"SELECT doc_id, {_value} AS part FROM documents")
+    @query(_name, f"SELECT doc_id, {_value} AS part FROM made", _MADE)
     def _part_query(spark: SparkSession, d: str, column=_column) -> DataFrame:
         return _pages(spark, d).select("doc_id", column().alias("part"))
 
@@ -291,12 +372,12 @@ def fn_between(spark: SparkSession, d: str) -> DataFrame:
     return events(spark, d).select("event_id", X.between_hours(at, F.to_timestamp(F.lit("2024-01-05 00:00:00")), 24).alias("inside"))
 
 
-@query("proj_structured")
+@query("proj_structured", f"SELECT identifier, name, version_id AS version, {_BOX} AS infoboxes, len(r) AS parsed_references, '02/24' AS last_revised FROM articles JOIN made ON doc_id = identifier", A, _MADE)
 def proj_structured(spark: SparkSession, d: str) -> DataFrame:
     """The default fields, and of the computed ones those asked for: their functions run only then."""
     a = articles(spark, d).select("name", "identifier", "version", "in_language", "is_part_of")
     p = _pages(spark, d).select(F.col("doc_id").alias("identifier"), F.col("p.infoboxes").alias("infoboxes"), F.col("p.references").alias("references"))
-    out = a.join(p, "identifier").withColumn("attribution", F.struct(F.size("references").alias("parsed_references_count"), X.last_revised(F.lit("2024-02-01T00:00:00Z")).alias("last_revised")))
+    out = a.join(p, "identifier").withColumn("attribution", F.struct(F.size("references").cast("long").alias("parsed_references_count"), X.last_revised(F.lit("2024-02-01T00:00:00Z")).alias("last_revised")))
     return out.select("identifier", "name", F.col("version.identifier").alias("version"), "infoboxes", F.col("attribution.parsed_references_count").alias("parsed_references"), F.col("attribution.last_revised").alias("last_revised"))
 
 
