@@ -324,22 +324,38 @@ PARTS = (
 )
 
 
-def parts(html: str | None, compat: bool = False) -> dict:
-    """All parts; recursive ones as JSON text, null where there are none."""
+#: How each part is made of the page's tree.
+_MAKERS = {
+    "base_url": lambda root, compat: base_url(root),
+    "abstract": abstract,
+    "text": lambda root, compat: text_of(root.first(lambda n: n.tag == "body") or root),
+    "templates": lambda root, compat: templates(root),
+    "categories": lambda root, compat: categories(root),
+    "links": lambda root, compat: links(root),
+    "images": images,
+    "infoboxes": lambda root, compat: _json(infoboxes(root, compat)),
+    "sections": lambda root, compat: _json(sections(root)),
+    "references": lambda root, compat: references(root),
+}
+
+
+def _json(found: list) -> str | None:
+    return json.dumps(found, ensure_ascii=False) if found else None
+
+
+def parts(html: str | None, compat: bool = False, only: tuple[str, ...] = tuple(_MAKERS)) -> dict:
+    """The parts asked for (all by default); recursive ones as JSON text, null where there are none."""
     root = parse(html or "")
-    as_json = lambda x: json.dumps(x, ensure_ascii=False) if x else None
-    body = root.first(lambda n: n.tag == "body") or root
-    return {
-        "base_url": base_url(root), "abstract": abstract(root, compat), "text": text_of(body), "templates": templates(root),
-        "categories": categories(root), "links": links(root), "images": images(root, compat),
-        "infoboxes": as_json(infoboxes(root, compat)), "sections": as_json(sections(root)), "references": references(root),
-    }
+    return {name: _MAKERS[name](root, compat) for name in only}
+
 
+def html_parts(html: Column, compat: bool = False, only: tuple[str, ...] = tuple(_MAKERS)) -> Column:
+    """The parts asked for as one struct; no other part is computed."""
+    fields = dict(f.split(" ", 1) for f in re.split(r", (?=\w+ )", PARTS))
 
-def html_parts(html: Column, compat: bool = False) -> Column:
-    @F.pandas_udf(PARTS)
+    @F.pandas_udf(", ".join(f"{name} {fields[name]}" for name in only))
     def run(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for page in pages:
-            yield pd.DataFrame([parts(p, compat) for p in page], columns=[c.split()[0] for c in re.split(r", (?=\w+ )", PARTS)])
+            yield pd.DataFrame([parts(p, compat, only) for p in page], columns=list(only))
 
     return run(html)

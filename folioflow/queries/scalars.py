@@ -222,7 +222,7 @@ _PLAIN = f"trim(regexp_replace(regexp_replace({_PLAIN}, '\\s+([:;：；, ，、.
 )
 def html_links(spark: SparkSession, d: str) -> DataFrame:
     """Addresses and texts of all links of a page, in order."""
-    made = table(spark, d, "pages").select("page_id", html_parts(F.col("html")).alias("p"))
+    made = table(spark, d, "pages").select("page_id", html_parts(F.col("html"), only=("links",)).alias("p"))
     return made.select("page_id", F.array_join(F.transform("p.links", lambda x: F.concat(x["url"], F.lit("="), x["text"])), "|").alias("links"))
 
 
@@ -233,7 +233,7 @@ def html_links(spark: SparkSession, d: str) -> DataFrame:
 )
 def html_all(spark: SparkSession, d: str) -> DataFrame:
     """Whole text and numbers of parts of the driver's pages."""
-    made = table(spark, d, "pages").select("page_id", html_parts(F.col("html")).alias("p"))
+    made = table(spark, d, "pages").select("page_id", html_parts(F.col("html"), only=("abstract", "text", "images", "sections")).alias("p"))
     sections = F.coalesce(F.json_array_length("p.sections"), F.lit(0)).cast("long").alias("sections")
     return made.select("page_id", F.col("p.abstract").alias("abstract"), F.col("p.text").alias("text"), F.size("p.images").cast("long").alias("images"), sections)
 
@@ -266,11 +266,11 @@ def _filled(text: str, **values: Column) -> Column:
     return F.concat(*[values[x].cast("string") if k % 2 else F.lit(x) for k, x in enumerate(re.split(r"\{([ni])\}", text))])
 
 
-def _pages(spark: SparkSession, d: str) -> DataFrame:
+def _pages(spark: SparkSession, d: str, *only: str) -> DataFrame:
     n = F.col("doc_id")
     each = lambda sep, text: F.array_join(F.transform(F.sequence(F.lit(1), (n % 4 + 2).cast("int")), lambda i: _filled(text, n=n, i=i)), sep)
     page = F.concat(*[_filled(x, n=n) if isinstance(x, str) else each(*x) for x in PAGE])
-    return table(spark, d, "documents").select("doc_id", html_parts(page).alias("p"))
+    return table(spark, d, "documents").select("doc_id", html_parts(page, only=only).alias("p"))
 
 
 def _sql(text: str) -> str:
@@ -303,7 +303,7 @@ def html_article(spark: SparkSession, d: str) -> DataFrame:
     """All parts of a page in one pass."""
     sizes = {"templates": "templates", "categories": "categories", "images": "images", "refs": "references", "links": "links"}
     names = F.from_json("p.sections", "array<struct<name:string>>")
-    return _pages(spark, d).select(
+    return _pages(spark, d, "abstract", "infoboxes", "sections", *sizes.values()).select(
         "doc_id", F.col("p.abstract").alias("abstract"), *[F.size(f"p.{v}").cast("long").alias(k) for k, v in sizes.items()],
         F.get_json_object("p.infoboxes", "$[0].name").alias("box"), F.array_join(F.transform(names, lambda s: s["name"]), "|").alias("sections"),
     )
@@ -329,36 +329,36 @@ def _items() -> Column:
     return F.array_join(F.transform(items, lambda x: F.concat(x["value"], F.lit("/"), x["has_parts"][0]["has_parts"][0]["value"])), "|")
 
 
-#: Each part of the page as a column, and the SQL of its value.
+#: For each query the parts it asks for, its column, and the SQL of its value.
 _PARTS = {
-    "html_base_url": (lambda: F.concat("p.base_url", F.element_at("p.links", -1)["url"]), _sql("https://en.host/wiki/https://a/{n}/") + " || len(r)"),
-    "html_templates": (lambda: F.to_json("p.templates"), _wrapped("[", (",", '{"name":"Template:T{n}-{i}","url":"https://en.host/wiki/Template:T{n}-{i}"}'), "]")),
-    "html_categories": (lambda: F.to_json("p.categories"), _wrapped("[", (",", '{"name":"Category:C{n}-{i}","url":"https://en.host/wiki/Category:C{n}-{i}"}'), "]")),
-    "html_abstract": (lambda: F.col("p.abstract"), _ABSTRACT),
-    "html_images": (lambda: F.to_json("p.images"), _wrapped("[", (",", '{"content_url":"https://i/x{n}-{i}.png","alternative_text":"x{i}","caption":"Cap {i}","width":20{i},"height":30{i}}'), "]")),
+    "html_base_url": (("base_url", "links"), lambda: F.concat("p.base_url", F.element_at("p.links", -1)["url"]), _sql("https://en.host/wiki/https://a/{n}/") + " || len(r)"),
+    "html_templates": (("templates",), lambda: F.to_json("p.templates"), _wrapped("[", (",", '{"name":"Template:T{n}-{i}","url":"https://en.host/wiki/Template:T{n}-{i}"}'), "]")),
+    "html_categories": (("categories",), lambda: F.to_json("p.categories"), _wrapped("[", (",", '{"name":"Category:C{n}-{i}","url":"https://en.host/wiki/Category:C{n}-{i}"}'), "]")),
+    "html_abstract": (("abstract",), lambda: F.col("p.abstract"), _ABSTRACT),
+    "html_images": (("images",), lambda: F.to_json("p.images"), _wrapped("[", (",", '{"content_url":"https://i/x{n}-{i}.png","alternative_text":"x{i}","caption":"Cap {i}","width":20{i},"height":30{i}}'), "]")),
     "html_text": (
-        lambda: F.col("p.text"),
+        ("text",),lambda: F.col("p.text"),
         _wrapped(
             "Alpha (born {n}) is ", (" ", "beta {i}"), " number {n}. Box {n} Born {n} May Works ", (" ", "A{i}"), " Life {n} ", (" ", "Text {i} of {n}."), " ", (" ", "One {i} Two {i}"),
             " ", (" ", "Cap {i}"), " References ", (" ", "Note {i} a{i}"),
         ),
     ),
     "html_infobox": (
-        lambda: F.get_json_object("p.infoboxes", "$[0].has_parts"),
+        ("infoboxes",),lambda: F.get_json_object("p.infoboxes", "$[0].has_parts"),
         _wrapped('[{"type":"field","name":"Born","value":"{n} May"},{"type":"list","name":"Works","value":"', (" ", "A{i}"), '","values":[', (",", '"A{i}"'), "]}]"),
     ),
-    "html_infoboxes": (lambda: F.col("p.infoboxes"), _BOX),
-    "html_sections": (lambda: F.col("p.sections"), _SECTIONS),
-    "html_paragraphs": (_paragraphs, _list("|", "Text {i} of {n}.")),
-    "html_list_items": (_items, _list("|", "One {i}/Two {i}")),
-    "html_references": (lambda: F.to_json("p.references"), _wrapped("[", (",", '{"id":"r{i}","index":{i},"text":"Note {i} a{i}","links":[{"url":"https://a/{n}/{i}","text":"a{i}"}]}'), "]")),
+    "html_infoboxes": (("infoboxes",), lambda: F.col("p.infoboxes"), _BOX),
+    "html_sections": (("sections",), lambda: F.col("p.sections"), _SECTIONS),
+    "html_paragraphs": (("sections",), _paragraphs, _list("|", "Text {i} of {n}.")),
+    "html_list_items": (("sections",), _items, _list("|", "One {i}/Two {i}")),
+    "html_references": (("references",), lambda: F.to_json("p.references"), _wrapped("[", (",", '{"id":"r{i}","index":{i},"text":"Note {i} a{i}","links":[{"url":"https://a/{n}/{i}","text":"a{i}"}]}'), "]")),
 }
 
-for _name, (_column, _value) in _PARTS.items():
+for _name, (_only, _column, _value) in _PARTS.items():
 
     @query(_name, f"SELECT doc_id, {_value} AS part FROM made", _MADE)
-    def _part_query(spark: SparkSession, d: str, column=_column) -> DataFrame:
-        return _pages(spark, d).select("doc_id", column().alias("part"))
+    def _part_query(spark: SparkSession, d: str, only=_only, column=_column) -> DataFrame:
+        return _pages(spark, d, *only).select("doc_id", column().alias("part"))
 
 
 @query("fn_underscore", "SELECT doc_id, 'A_b_' || doc_id AS name FROM documents")
@@ -376,7 +376,7 @@ def fn_between(spark: SparkSession, d: str) -> DataFrame:
 def proj_structured(spark: SparkSession, d: str) -> DataFrame:
     """The default fields, and of the computed ones those asked for: their functions run only then."""
     a = articles(spark, d).select("name", "identifier", "version", "in_language", "is_part_of")
-    p = _pages(spark, d).select(F.col("doc_id").alias("identifier"), F.col("p.infoboxes").alias("infoboxes"), F.col("p.references").alias("references"))
+    p = _pages(spark, d, "infoboxes", "references").select(F.col("doc_id").alias("identifier"), F.col("p.infoboxes").alias("infoboxes"), F.col("p.references").alias("references"))
     out = a.join(p, "identifier").withColumn("attribution", F.struct(F.size("references").cast("long").alias("parsed_references_count"), X.last_revised(F.lit("2024-02-01T00:00:00Z")).alias("last_revised")))
     return out.select("identifier", "name", F.col("version.identifier").alias("version"), "infoboxes", F.col("attribution.parsed_references_count").alias("parsed_references"), F.col("attribution.last_revised").alias("last_revised"))
 
