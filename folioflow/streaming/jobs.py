@@ -73,6 +73,8 @@ def push(spark: SparkSession, sql: str, path: str, checkpoint: str) -> None:
 
 INTEGRITY = "page long, created timestamp, moved timestamp, edits long, unique_editors long"
 _STATE = "created long, created_set long, moved long, moved_set long, first_push long, editors array<string>, versions array<long>"
+#: Kinds of changes that the state depends on.
+_FOLDED = ("create", "move", "edit")
 
 
 def _micros(at: pd.Timestamp) -> int:
@@ -81,7 +83,7 @@ def _micros(at: pd.Timestamp) -> int:
 
 def _integrity(hours: int):
     """State of a page: when it was created and moved, each kept for some hours from its last write, and its
-    versions while it is tracked, kept for as long from the first of them."""
+    versions while it is tracked, kept for as long from the first of them.  One page's rows of a batch are held at once."""
     kept = hours * 3_600_000
 
     def run(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -95,16 +97,17 @@ def _integrity(hours: int):
         if state.hasTimedOut and created is None and moved is None and not versions:
             state.remove()
             return
-        for batch in rows if not state.hasTimedOut else ():
-            for r in batch.sort_values(["at", "version"]).itertuples(index=False):
-                if r.kind == "create" and r.namespace == 0:
-                    created, created_set = _micros(r.at), now
-                elif r.kind == "move" and r.namespace == 0:
-                    moved, moved_set = _micros(r.at), now
-                elif r.kind == "edit" and (created is not None or moved is not None):
-                    first = first if versions else now
-                    editors.append(r.editor)
-                    versions.append(int(r.version))
+        # A page's rows are split wherever an Arrow batch is full, so they are put in order all together.
+        parts = [] if state.hasTimedOut else [batch[batch.kind.isin(_FOLDED)] for batch in rows]
+        for r in pd.concat(parts).sort_values(["at", "version"]).itertuples(index=False) if parts else ():
+            if r.kind == "create" and r.namespace == 0:
+                created, created_set = _micros(r.at), now
+            elif r.kind == "move" and r.namespace == 0:
+                moved, moved_set = _micros(r.at), now
+            elif r.kind == "edit" and (created is not None or moved is not None):
+                first = first if versions else now
+                editors.append(r.editor)
+                versions.append(int(r.version))
         state.update((created, created_set, moved, moved_set, first, editors, versions))
         state.setTimeoutDuration(kept)
         stamp = lambda x: pd.to_datetime([x], unit="us")

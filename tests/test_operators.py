@@ -119,6 +119,25 @@ def test_integrity_stream(spark, tmp_path):
     assert {r.page: (r.edits, r.unique_editors, r.created is not None, r.moved is not None) for r in got} == {1: (2, 1, True, False), 2: (0, 0, False, False), 3: (1, 1, False, True)}
 
 
+def test_integrity_stream_over_split_groups(spark, tmp_path):
+    """Pages of more rows than an Arrow batch holds, landed newest first: their order is that of the whole page."""
+    kinds = ["edit", "create", "edit", "edit", "move", "edit", "delete"] * 3
+    rows = [(p, k, 0, 100 * p + n, f"e{n % 4}", T0 + datetime.timedelta(minutes=n)) for p in (1, 2, 3) for n, k in enumerate(kinds)]
+    df = spark.createDataFrame(rows[::-1], "page long, kind string, namespace int, version long, editor string, at timestamp").coalesce(1)
+    df.write.parquet(str(tmp_path / "in"))
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        stream = jobs.integrity_stream(jobs.landed(spark, str(tmp_path / "in"), df.schema))
+        query = stream.writeStream.outputMode("update").format("memory").queryName("split").option("checkpointLocation", str(tmp_path / "at")).trigger(once=True).start()
+        query.awaitTermination(120)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    got = {r.page: (r.created, r.moved, r.edits, r.unique_editors) for r in spark.table("split").collect()}
+    want = (T0 + datetime.timedelta(minutes=15), T0 + datetime.timedelta(minutes=18), 11, 4)
+    assert got == dict.fromkeys((1, 2, 3), want)
+
+
 def test_stream_equals_batch(spark, tmp_path):
     df = spark.createDataFrame([change("move", ns=6, prior_ns=14), change("edit"), change("create", db="nowiki")], schemas.CHANGE)
     df.write.parquet(str(tmp_path / "in"))
