@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from folioflow.llm.hashing import word_spans
+from folioflow.llm.hashing import mix, word_spans
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -43,19 +41,28 @@ def bounds(segments: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def ring_near(a: Column, b: Column, distance: int, segments: int = 8, prefix: int = 3) -> Column:
-    """Whether two fingerprints differ in ``distance`` bits or fewer: a chain's first budgets before the full count.
-
-    Some chain of consecutive segments of a ring keeps every budget if the whole does, so a pair is dropped where
-    no start keeps the first ``prefix`` of them.
-    """
-    most, parts = budgets(segments, distance), bounds(segments)
-    own = [F.bit_count(F.shiftrightunsigned(a.bitwiseXOR(b), shift).bitwiseAND(F.lit((1 << width) - 1))) for shift, width in parts]
-    chain = F.lit(False)
-    for start in range(segments):
-        kept, sums = F.lit(True), F.lit(0)
-        for n in range(1, min(prefix, segments) + 1):
-            sums = sums + own[(start + n - 1) % segments]
-            kept = kept & (sums <= most[n])
-        chain = chain | kept
-    return chain & (F.bit_count(a.bitwiseXOR(b)) <= distance)
+#: The wide fingerprint: words of 64 bits, the first from the hashes themselves, all cut in a ring of 16-bit segments.
+WORDS = 28
+_STEPS = np.arange(WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def ring(hashes: np.ndarray) -> np.ndarray:
+    """Segments of the wide fingerprint: bits set in over half the hashes, and in over half of each mix of them."""
+    ones = np.zeros(WORDS * 64, dtype=np.int64)
+    for i in range(0, len(hashes), 255):
+        own = hashes[i : i + 255, None]
+        mixed = mix(own + _STEPS)
+        mixed[:, :1] = own
+        ones += np.unpackbits(mixed.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(ones * 2 > len(hashes)).view(np.uint16)
+
+
+def chains(segments: np.ndarray, length: int) -> np.ndarray:
+    """Of each row of segments, the ``length`` of them that follow each one on the ring."""
+    around = np.concatenate([segments, segments[:, :length]], axis=1)[:, 1:]
+    return np.lib.stride_tricks.sliding_window_view(around, length, axis=1)
+
+
+def keeps(differences: np.ndarray, most: list[int]) -> np.ndarray:
+    """Whether a chain whose first segment is equal keeps each budget; differences: those of the segments after it."""
+    return (np.cumsum(differences, axis=-1, dtype=np.int64) <= np.array(most[2 : 2 + differences.shape[-1]])).all(axis=-1)
