@@ -26,24 +26,35 @@ def shuffled(spark):
     spark.conf.set(key, old)
 
 
-def test_texts_do_not_travel_with_events(spark, tmp_path, shuffled):
-    text, edits = "lorem ipsum dolor " * 1000, 1000
-    docs = [(i, f"{i} {text}", "en" if i < 15 else "de", "s", 1) for i in range(20)]
-    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+def compared(spark, folder, docs, edits):
+    """The query's frame, once its rows were found equal to the SQL's."""
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{folder}/documents.parquet")
     events = spark.range(edits).selectExpr("id AS event_id", "timestamp '2024-01-01 00:00:00' AS ts", "id % 25 AS user_id", "'view' AS event_type", "1.0D AS value", "'{\"k\": 1}' AS props")
-    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
-    df = QUERIES["st_enrich_update"](spark, str(tmp_path))
+    events.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    df = QUERIES["st_enrich_update"](spark, str(folder))
     got = df.collect()
     con = duckdb.connect()
     con.sql("SET TimeZone = 'UTC'")
     for name in ("documents", "events"):
-        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
     want = con.sql(ORACLE_SQL["st_enrich_update"])
     at = [want.columns.index(c) for c in df.columns]
     assert sorted(map(repr, map(tuple, got))) == sorted(repr(tuple(r[i] for i in at)) for r in want.fetchall())
+    return df
+
+
+def test_texts_do_not_travel_with_events(spark, tmp_path, shuffled):
+    text, edits = "lorem ipsum dolor " * 1000, 1000
+    docs = [(i, f"{i} {text}", "en" if i < 15 else "de", "s", 1) for i in range(20)]
+    df = compared(spark, tmp_path, docs, edits)
     assert 2 * 20 * len(text) < shuffled(df) < 3 * 20 * len(text) + 1000 * edits
 
 
+def test_revisions_without_a_text(spark, tmp_path):
+    texts = ["a b", None, "b c c", None, None, "", "d", None]
+    compared(spark, tmp_path, [(i, t, None if i == 6 else "en", "s", 1) for i, t in enumerate(texts)], 50)
+
+
 def test_page_facts(spark):
     """Counts and tags of pages, also of one without a text before, one without a text, and one that isn't there."""
     events = spark.createDataFrame([("enwiki", 0, i, 10 + i, 1, "U") for i in (1, 1, 2, 3, 4)], "project string, namespace int, page_id long, rev_id long, user_id long, user_text string")
